@@ -1,0 +1,47 @@
+"""Where intermediate tables live: the shared folder the cluster names, never a machine-local one."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+SETTING = "spark.checkpoint.dir"
+_local_folder: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str | None:
+    """Folder for written intermediate tables.
+
+    ``spark.checkpoint.dir`` decides. Where it is unset, a local master gets a scratch folder of its own
+    (tests) and a cluster gets None: callers then keep the lazy plan instead of writing.
+    """
+    configured = spark.conf.get(SETTING, None)
+    if configured:
+        return configured
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        return None
+    return _local_folder.setdefault(context.applicationId, tempfile.mkdtemp(prefix="clientele-"))
+
+
+def use_for_checkpoints(spark: SparkSession) -> None:
+    """Let iterative training cut its lineage in the shared folder."""
+    folder = shared_folder(spark)
+    if folder and not spark.conf.get(SETTING, None):
+        spark.sparkContext.setCheckpointDir(folder)
+
+
+def store(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` to a fresh folder and read it back, so that consumers share one computation.
+
+    The files survive the loss of executors. Without a shared folder the plan is returned as it is.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if folder is None:
+        return df
+    path = f"{folder.rstrip('/')}/clientele-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
