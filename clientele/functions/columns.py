@@ -51,3 +51,10 @@ def whole_table_value(df: DataFrame, **aggregates: Column) -> Column:
 def least_squares(x: Column, y: Column) -> dict[str, Column]:
     """Slope and intercept aggregates; NULL when x has fewer than two distinct values."""
     return {"slope": F.regr_slope(y, x), "intercept": F.regr_intercept(y, x)}
+
+
+def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Round every double column, to compare results across engines and partition orders."""
+    return df.select(
+        *[round_half_up(F.col(f"`{n}`"), digits).alias(n) if t == "double" else F.col(f"`{n}`") for n, t in df.dtypes]
+    )

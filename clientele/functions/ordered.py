@@ -12,6 +12,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clientele.sources.storage import store
+
 HASH_RANGE_SHIFT = 48  # a 60-bit hash keeps its top 12 bits: 4096 ordered, evenly filled ranges
 
 
@@ -37,10 +39,11 @@ def prefix_sums(
     """Add ``cum_<t>`` (inclusive running total in ``value`` order) for each column of ``totals``.
 
     ``counts`` holds one row per (``by``, ``value``); ``value`` must be numeric and not NULL. Aggregating to
-    distinct values first is what makes a value shared by a third of all rows harmless.
+    distinct values first is what makes a value shared by a third of all rows harmless. The counts are
+    written once, because edges, offsets and running totals all read them.
     """
     by = list(by)
-    numeric = counts.withColumn("_position", F.col(value).cast("double"))
+    numeric = store(counts, "value_counts").withColumn("_position", F.col(value).cast("double"))
     edges = _range_edges(numeric, "_position", ranges or _range_count(counts))
     if edges:
         splits = [float("-inf"), *edges, float("inf")]

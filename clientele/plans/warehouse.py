@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from clientele.config import RULES, BusinessRules
 from clientele.operators import marts, staging
 from clientele.operators.features import customer_features
-from clientele.plans.storage import store
+from clientele.sources.storage import store
 from clientele.sources.bank_tables import bank_table
 from clientele.sources.schemas import GENERATED_TABLES, REFERENCE_TABLES, TABLES
 

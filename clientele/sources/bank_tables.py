@@ -245,6 +245,11 @@ def _branch_rows(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _channel_rows(spark: SparkSession, _: str) -> DataFrame:
+    rows = ", ".join(str(row) for row in CHANNEL_ROWS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(a, b, c)")
+
+
 def _filtered(name: str, keep: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, d: _read(spark, d, name).filter(keep)
 
@@ -256,7 +261,7 @@ ROW_SOURCES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "loans": _filtered("orders", "o_orderkey%16=3 and o_custkey%17<>16"),
     "cards": _per_customer("c_custkey%2", "c_custkey%10>=3 and c_custkey%17<>16"),
     "branches": _branch_rows,
-    "channels": lambda spark, d: spark.createDataFrame(list(CHANNEL_ROWS), "a string, b string, c string"),
+    "channels": _channel_rows,
     "interactions": _filtered("events", "event_type<>'error'"),
     "complaints": _filtered("events", "event_type='error'"),
     "offers": _filtered("orders", "o_orderkey%4=1"),
