@@ -126,23 +126,23 @@ def _(w: Warehouse) -> DataFrame:
 
 @over("mrt1_customer_features")
 def _(w: Warehouse) -> DataFrame:
-    return w.features
+    return w.customer_features
 
 
 @over("mrt2_minmax_signals")
 def _(w: Warehouse) -> DataFrame:
     names = {f"s_{n}": s for n, s in scoring.RISK_SIGNALS.items()}
-    return scoring.minmax_0_100(w.features, names).select("customer_id", *names)
+    return scoring.minmax_0_100(w.customer_features, names).select("customer_id", *names)
 
 
 @over("mrt3_composite_risk")
 def _(w: Warehouse) -> DataFrame:
-    return scoring.composite_risk(w.features)
+    return scoring.composite_risk(w.customer_features)
 
 
 @over("mrt4_opportunity_flags")
 def _(w: Warehouse) -> DataFrame:
-    return marts.opportunity_flags(w.features).select("customer_id", *marts.FLAGS)
+    return marts.opportunity_flags(w.customer_features).select("customer_id", *marts.FLAGS)
 
 
 @over("mrt5_customer_360")

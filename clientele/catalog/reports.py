@@ -81,7 +81,7 @@ over("rpt21_cross_sell_potential", 2)(lambda w: opportunities.cross_sell_potenti
 over("rpt22_offer_matrix")(lambda w: opportunities.offer_matrix(_stats(w)))
 over("rpt23_offer_funnel")(lambda w: opportunities.offer_funnel(_stats(w)))
 over("rpt23_best_to_second")(lambda w: opportunities.best_to_second(_stats(w)))
-over("rpt24_search")(lambda w: client.search(w.customer_360, "frÀnce"))
+over("rpt24_search")(lambda w: client.search(w.customer_360, "nÂtion_7"))
 over("rpt24_search_suggestions")(lambda w: client.search(w.customer_360))
 over("rpt25_product_snapshot")(
     lambda w: client.product_snapshot(w.table("customers"), w.table("cards"), w.bronze("accounts"), w.table("loans"))

@@ -208,7 +208,7 @@ FROM (SELECT *, row_number() OVER w AS rn, lead(offer_type) OVER w AS nxt, lead(
       WINDOW w AS (ORDER BY taux DESC, offer_type DESC)) q WHERE rn = 1""", top3=_TOP3, **OFFERS)
 _RESULT = "SELECT customer_id, full_name, segment, city, risque_composite FROM c360"
 sql("rpt24_search", f"{_RESULT} WHERE " + " OR ".join(
-    f"contains(strip_accents(lower({c})), strip_accents(lower('frÀnce')))" for c in ("customer_id", "full_name", "city", "segment")))
+    f"contains(strip_accents(lower({c})), strip_accents(lower('nÂtion_7')))" for c in ("customer_id", "full_name", "city", "segment")))
 sql("rpt24_search_suggestions", f"{_RESULT} ORDER BY risque_composite DESC, customer_id LIMIT 10")
 
 

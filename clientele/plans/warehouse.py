@@ -16,11 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.config import RULES, BusinessRules
-from clientele.operators import marts, staging
-from clientele.operators.features import customer_features
+from clientele.operators import features, marts, staging
 from clientele.sources.storage import store
 from clientele.sources.bank_tables import bank_table
-from clientele.sources.schemas import GENERATED_TABLES, REFERENCE_TABLES, TABLES
+from clientele.sources.schemas import COLUMNS, REFERENCE_TABLES, TABLES
 
 MONTH = "txn_month"
 
@@ -78,12 +77,12 @@ class Warehouse:
 
     # gold -------------------------------------------------------------------------------------------
     @cached_property
-    def features(self) -> DataFrame:
-        return store(customer_features(self.silver, self._rules), "customer_features")
+    def customer_features(self) -> DataFrame:
+        return store(features.customer_features(self.silver, self._rules), "customer_features")
 
     @cached_property
     def customer_360(self) -> DataFrame:
-        return store(marts.score_features(self.features, self._rules), "customer_360")
+        return store(marts.score_features(self.customer_features, self._rules), "customer_360")
 
     @cached_property
     def customer_segments(self) -> DataFrame:
@@ -93,9 +92,36 @@ class Warehouse:
     def nba(self) -> DataFrame:
         return store(marts.next_best_action(self.customer_360), "nba")
 
+    def source(self, table: str) -> DataFrame:
+        """A source table with its contract columns only."""
+        return self.bronze(table).select(*COLUMNS[table])
+
+    def sources(self) -> dict[str, DataFrame]:
+        return {t: self.source(t) for t in TABLES}
+
     def observed(self) -> dict[str, DataFrame]:
-        """The observed rows of the ten tables, as a bootstrap or a profile wants them."""
-        return {t: self.twins(t)[0] for t in TABLES}
+        """The observed rows of the ten tables, as a bootstrap wants them."""
+        return {t: self.twins(t)[0].select(*COLUMNS[t]) for t in TABLES}
+
+    def tested(self) -> dict[str, DataFrame]:
+        """Silver, feature and gold tables under the names the rule suite uses."""
+        silver, cust = self.silver, self.silver["customers"]
+        txn, accounts = silver["transactions"], silver["accounts"]
+        return {
+            **{f"stg_{t}": df for t, df in silver.items()},
+            "int_customer_recency": features.recency(cust, txn),
+            "int_customer_transaction_trend": features.txn_trend(cust, txn),
+            "int_customer_complaints": features.complaint_counts(cust, silver["complaints"]),
+            "int_customer_digital_score": features.digital_score(cust),
+            "int_customer_products": features.product_counts(cust, accounts, silver["cards"]),
+            "int_customer_balance": features.balances(cust, accounts),
+            "int_customer_nbi": features.nbi(cust, accounts, txn),
+            "int_customer_channel": features.majority_channel(cust, txn, silver["channels"]),
+            "int_customer_loans": features.max_dpd(cust, silver["loans"]),
+            "customer_360": self.customer_360,
+            "customer_segments": self.customer_segments,
+            "nba": self.nba,
+        }
 
 
 _open: dict[tuple[str, str], Warehouse] = {}
@@ -108,5 +134,3 @@ def warehouse(spark: SparkSession, source_dir: str) -> Warehouse:
         _open[key] = Warehouse.from_star_schema(spark, source_dir)
     return _open[key]
 
-
-__all__ = ["GENERATED_TABLES", "MONTH", "Warehouse", "warehouse"]
