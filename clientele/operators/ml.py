@@ -7,7 +7,9 @@ whose scaler is part of the model, so a later fit can never change an earlier on
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -232,14 +234,22 @@ def psi(reference: DataFrame, current: DataFrame, column: str, bins: int = 10) -
 
 
 def cross_validate(
-    df: DataFrame, kind: str = "logistic", k: int = 5, seed: int = RULES.seed, trees: int = 200, rounds: int = 100
+    df: DataFrame, kind: str = "logistic", k: int = 5, seed: int = RULES.seed, trees: int = 200, rounds: int = 100,
+    parallelism: int = 5,
 ) -> DataFrame:
-    """k-fold metrics: one model per fold, each with its own scaler; means to three decimals."""
+    """k-fold metrics: one model per fold, each with its own scaler; means to three decimals.
+
+    Up to ``parallelism`` folds are submitted at once, which fills the gaps between the many short jobs of a fit.
+    """
     folded = store(stratified_folds(features(df), k, seed=seed), "folds")
-    scored = []
-    for fold in range(k):
+
+    @inheritable_thread_target(folded.sparkSession)
+    def predicted(fold: int) -> DataFrame:
         model = train(folded.filter(F.col("fold") != fold), kind, seed, trees, rounds)
-        scored.append(score(model, folded.filter(F.col("fold") == fold)))
+        return score(model, folded.filter(F.col("fold") == fold))
+
+    with ThreadPool(max(1, min(parallelism, k))) as pool:
+        scored = pool.map(predicted, range(k))
     pred = store(union_all(scored), "fold_predictions")
     per_fold = confusion_metrics(pred, ["fold"]).join(auc(pred, ["fold"]), "fold", "left")
     means = {"auc": F.coalesce(F.col("auc"), F.lit(0.5)), **{c: F.col(c) for c in ("recall", "precision", "f1")}}
