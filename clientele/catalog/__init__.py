@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from clientele.catalog import core, learning, profiles, reports
+from clientele.catalog import core, jobs, learning, profiles, reports
 
-QUERIES = {**core.QUERIES, **reports.QUERIES, **profiles.QUERIES, **learning.QUERIES}
+QUERIES = {**core.QUERIES, **jobs.QUERIES, **reports.QUERIES, **profiles.QUERIES, **learning.QUERIES}

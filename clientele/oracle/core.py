@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from clientele.oracle.base import with_bank
-from clientele.sources.schemas import TABLES
+from clientele.sources.schemas import COLUMNS, TABLES
 
 ORACLES: dict[str, str] = {}
 
@@ -127,3 +127,19 @@ UNION ALL SELECT NULL, NULL, count(*), TRUE FROM stg_complaints {_where}""")
 sql("srv6_free_sql", """
 SELECT c.segment, count(*) AS nb_prets, max(l.days_past_due) AS retard_max
 FROM c360 c JOIN stg_loans l ON l.customer_id = c.customer_id WHERE l.status_corrige = 'Delinquent' GROUP BY 1""")
+
+sql("src2_bronze_twins", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, is_synthetic, count(*) AS n FROM bank_{t} GROUP BY is_synthetic"
+    for t in TABLES if t not in ("branches", "channels")))
+sql("src5_gold_rows", """
+SELECT 'customer_360' AS table_name, count(*) AS n FROM c360 UNION ALL SELECT 'nba', count(*) FROM nba
+UNION ALL SELECT 'customer_segments', count(*) FROM segments""")
+sql("src7_export_csv", _EXPORT + "c.risque_composite >= 40 AND c.risque_composite <= 70")
+sql("src1_load_sources", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS lignes, {len(c)} AS colonnes FROM bank_{t}"
+    + ("" if t in ("branches", "channels") else " WHERE NOT is_synthetic") for t, c in COLUMNS.items()))
+_, _rest = ORACLES["scr3_engagement_score"].split("WITH ", 1)
+_ctes, _select = _rest.rsplit("\nSELECT customer_id, round(", 1)
+ORACLES["src4_enriched_export"] = (
+    f"SELECT e.customer_id, e.score_engagement, n.nbi_estime_xof, n.estimated_nbi_flag FROM (WITH {_ctes}\n"
+    f"SELECT customer_id, round({_select}) e JOIN ({ORACLES['scr4_nbi_enrichment']}) n ON n.customer_id = e.customer_id")

@@ -24,12 +24,16 @@ from clientele.sources.schemas import COLUMNS, REFERENCE_TABLES, TABLES
 MONTH = "txn_month"
 
 TableSource = Callable[[str], DataFrame]
+Store = Callable[[DataFrame, str, tuple[str, ...]], DataFrame]
 
 
 class Warehouse:
-    def __init__(self, tables: TableSource, rules: BusinessRules = RULES):
+    """``tables`` yields a source table, ``keep`` writes a named table and reads it back."""
+
+    def __init__(self, tables: TableSource, rules: BusinessRules = RULES, keep: Store = store):
         self._source = tables
         self._rules = rules
+        self._keep = keep
         self._bronze: dict[str, DataFrame] = {}
 
     @classmethod
@@ -40,15 +44,16 @@ class Warehouse:
     def bronze(self, table: str) -> DataFrame:
         if table not in self._bronze:
             rows = self._source(table)
+            name = f"bronze/{table}"
             if table == "transactions":
                 by_month = rows.withColumn(MONTH, F.date_format("txn_datetime", "yyyy-MM"))
-                self._bronze[table] = store(
-                    by_month.hint("rebalance", "is_synthetic", MONTH), table, ("is_synthetic", MONTH)
+                self._bronze[table] = self._keep(
+                    by_month.hint("rebalance", "is_synthetic", MONTH), name, ("is_synthetic", MONTH)
                 )
             elif table in REFERENCE_TABLES:
-                self._bronze[table] = store(rows.withColumn("is_synthetic", F.lit(False)), table)
+                self._bronze[table] = self._keep(rows.withColumn("is_synthetic", F.lit(False)), name, ())
             else:
-                self._bronze[table] = store(rows, table, ("is_synthetic",))
+                self._bronze[table] = self._keep(rows, name, ("is_synthetic",))
         return self._bronze[table]
 
     def twins(self, table: str) -> tuple[DataFrame, DataFrame | None]:
@@ -78,19 +83,22 @@ class Warehouse:
     # gold -------------------------------------------------------------------------------------------
     @cached_property
     def customer_features(self) -> DataFrame:
-        return store(features.customer_features(self.silver, self._rules), "customer_features")
+        return self._keep(features.customer_features(self.silver, self._rules), "silver/customer_features", ())
 
     @cached_property
     def customer_360(self) -> DataFrame:
-        return store(marts.score_features(self.customer_features, self._rules), "customer_360")
+        return self._keep(marts.score_features(self.customer_features, self._rules), "gold/customer_360", ())
 
     @cached_property
     def customer_segments(self) -> DataFrame:
-        return store(marts.customer_segments(self.customer_360), "customer_segments")
+        return self._keep(marts.customer_segments(self.customer_360), "gold/customer_segments", ())
 
     @cached_property
     def nba(self) -> DataFrame:
-        return store(marts.next_best_action(self.customer_360), "nba")
+        return self._keep(marts.next_best_action(self.customer_360), "gold/nba", ())
+
+    def gold(self) -> dict[str, DataFrame]:
+        return {"customer_360": self.customer_360, "customer_segments": self.customer_segments, "nba": self.nba}
 
     def source(self, table: str) -> DataFrame:
         """A source table with its contract columns only."""
