@@ -7,9 +7,8 @@ whose scaler is part of the model, so a later fit can never change an earlier on
 from __future__ import annotations
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
+from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -23,6 +22,7 @@ from clientele.functions.ordered import exact_quantiles, hash_rank, prefix_sums
 from clientele.operators.eda import union_all
 from clientele.operators.features import ID
 from clientele.operators.scoring import rule_score
+from clientele.sources.concurrent import run_all
 from clientele.sources.storage import store, use_for_checkpoints
 
 # Model inputs; the composite risk stays out because the label shares its signals.
@@ -243,13 +243,11 @@ def cross_validate(
     """
     folded = store(stratified_folds(features(df), k, seed=seed), "folds")
 
-    @inheritable_thread_target(folded.sparkSession)
     def predicted(fold: int) -> DataFrame:
         model = train(folded.filter(F.col("fold") != fold), kind, seed, trees, rounds)
         return score(model, folded.filter(F.col("fold") == fold))
 
-    with ThreadPool(max(1, min(parallelism, k))) as pool:
-        scored = pool.map(predicted, range(k))
+    scored = run_all(folded.sparkSession, [partial(predicted, fold) for fold in range(k)], parallelism)
     pred = store(union_all(scored), "fold_predictions")
     per_fold = confusion_metrics(pred, ["fold"]).join(auc(pred, ["fold"]), "fold", "left")
     means = {"auc": F.coalesce(F.col("auc"), F.lit(0.5)), **{c: F.col(c) for c in ("recall", "precision", "f1")}}

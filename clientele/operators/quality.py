@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -240,6 +241,17 @@ def _row_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     )
 
 
+def _key_rules(df: DataFrame, key: str, rules: list[Rule]) -> DataFrame:
+    """unique and not_null of one key from the same per-key counts."""
+    per_key = df.groupBy(F.col(key).alias("_key")).agg(count_rows().alias("_n"))
+    counts = {
+        "unique": F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)),
+        "not_null": F.coalesce(F.sum(F.when(F.col("_key").isNull(), F.col("_n"))), F.lit(0)),
+    }
+    wide = per_key.agg(*[counts[r.kind].alias(r.name) for r in rules])
+    return wide.unpivot([], [f"`{r.name}`" for r in rules], "regle", "violations")
+
+
 def run_suite(tables: dict[str, DataFrame], rules: Iterable[Rule] | None = None) -> DataFrame:
     """One row per rule with its number of violations.
 
@@ -251,18 +263,18 @@ def run_suite(tables: dict[str, DataFrame], rules: Iterable[Rule] | None = None)
     for table in dict.fromkeys(r.table for r in rules):
         df = tables[table]
         own = [r for r in rules if r.table == table]
-        row_rules = [r for r in own if r.kind in ("not_null", "accepted_values", "expect")]
+        keys = {r.column for r in own if r.kind == "unique"}
+        for key in sorted(keys):
+            found.append(_key_rules(df, key, [r for r in own if r.column == key and r.kind in ("unique", "not_null")]))
+        row_rules = [
+            r for r in own if r.kind in ("accepted_values", "expect") or (r.kind == "not_null" and r.column not in keys)
+        ]
         if row_rules:
             found.append(_row_rules(df, row_rules))
-        for rule in own:
-            if rule.kind == "unique":
-                counted = unique(df, rule.column).agg(count_rows().alias("violations"))
-            elif rule.kind == "relationships":
-                parent, key = rule.parent
-                orphans = relationships(df, rule.column, tables[parent], key)
-                counted = orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
-            else:
-                continue
+        for rule in (r for r in own if r.kind == "relationships"):
+            parent, key = rule.parent
+            orphans = relationships(df, rule.column, tables[parent], key)
+            counted = orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
             found.append(counted.select(F.lit(rule.name).alias("regle"), "violations"))
     listed = F.explode(
         F.array(
@@ -377,6 +389,12 @@ def lineage(tables: dict[str, DataFrame], source: str, is_synthetic: bool = Fals
     )
 
 
+def lineage_rows(spark: SparkSession, counts: dict[str, int], source: str, is_synthetic: bool = False) -> DataFrame:
+    """Audit rows from row counts already known."""
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    return spark.createDataFrame([(t, source, n, is_synthetic, now) for t, n in counts.items()], LINEAGE_COLUMNS)
+
+
 def record_lineage(rows: DataFrame, path: str) -> None:
     """Append audit rows; the log keeps every load."""
     rows.write.mode("append").parquet(path)

@@ -15,6 +15,7 @@ from clientele.functions.ordered import hash_rank, prefix_sums
 from clientele.operators.features import ID
 from clientele.operators.staging import tag_real
 from clientele.sources.schemas import COLUMNS, KEYS, REFERENCE_TABLES
+from clientele.sources.storage import store
 
 BY_ACCOUNT = ("transactions", "cards")
 BY_CUSTOMER = ("loans", "interactions", "complaints", "offers")
@@ -129,9 +130,12 @@ def synthesize(
     tables: dict[str, DataFrame], n: int = RULES.synthetic_customers, churn_rate: float = RULES.synthetic_churn_rate,
     seed: int = RULES.seed,
 ) -> dict[str, DataFrame]:
-    """The whole cohort: eight re-keyed tables, the two reference lists as they are."""
-    draws = draw_customers(tables["customers"], n, seed)
-    mapping = account_map(draws, tables["accounts"])
+    """The whole cohort: eight re-keyed tables, the two reference lists as they are.
+
+    The draws and the account map are written first: every table joins one of them.
+    """
+    draws = store(draw_customers(tables["customers"], n, seed), "draws")
+    mapping = store(account_map(draws, tables["accounts"]), "account_map")
     result = {"customers": copy_customers(tables["customers"], draws), "accounts": remap_accounts(draws, tables["accounts"])}
     for table in BY_ACCOUNT:
         result[table] = remap_by_account(tables[table], mapping, table)

@@ -10,7 +10,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from clientele.config import RULES, BusinessRules
 from clientele.operators import features, marts, staging
 from clientele.sources.storage import store
 from clientele.sources.bank_tables import bank_table
+from clientele.sources.concurrent import run_all
 from clientele.sources.schemas import COLUMNS, REFERENCE_TABLES, TABLES
 
 MONTH = "txn_month"
@@ -63,15 +64,31 @@ class Warehouse:
             return rows, None
         return rows.filter(~F.col("is_synthetic")), rows.filter("is_synthetic")
 
+    def fill_bronze(self) -> None:
+        """Write all ten tables, independent ones side by side."""
+        missing = [t for t in TABLES if t not in self._bronze]
+        if missing:
+            spark = self._source(missing[0]).sparkSession
+            run_all(spark, [partial(self.bronze, t) for t in missing])
+
     # silver -----------------------------------------------------------------------------------------
+    @cached_property
+    def accounts(self) -> DataFrame:
+        """Corrected accounts, written: features, checks and reports share the scan for salary credits."""
+        corrected = staging.stg_accounts(*self.twins("accounts"), self.table("transactions"))
+        return self._keep(corrected, "silver/accounts", ())
+
     @cached_property
     def silver(self) -> dict[str, DataFrame]:
-        return staging.build_silver({t: self.twins(t) for t in TABLES}, self._rules.dpd_threshold_days)
+        self.fill_bronze()
+        return {t: self.table(t) for t in TABLES}
 
     def table(self, name: str) -> DataFrame:
-        """Staged table; cheaper than ``silver[name]`` when the others are not needed."""
+        """A staged table."""
         if name == "accounts":
-            return staging.stg_accounts(*self.twins(name), self.table("transactions"))
+            return self.accounts
+        if name == "loans":
+            return staging.stg_loans(*self.twins(name), self._rules.dpd_threshold_days)
         build = getattr(staging, f"stg_{name}")
         return build(self.twins(name)[0]) if name in REFERENCE_TABLES else build(*self.twins(name))
 
@@ -112,20 +129,26 @@ class Warehouse:
         return {t: self.twins(t)[0].select(*COLUMNS[t]) for t in TABLES}
 
     def tested(self) -> dict[str, DataFrame]:
-        """Silver, feature and gold tables under the names the rule suite uses."""
-        silver, cust = self.silver, self.silver["customers"]
-        txn, accounts = silver["transactions"], silver["accounts"]
+        """Silver, feature and gold tables under the names the rule suite uses.
+
+        The feature models are read from the written feature table, not computed again.
+        """
+        made = self.customer_features
+
+        def part(*columns: str) -> DataFrame:
+            return made.select("customer_id", *columns)
+
         return {
-            **{f"stg_{t}": df for t, df in silver.items()},
-            "int_customer_recency": features.recency(cust, txn),
-            "int_customer_transaction_trend": features.txn_trend(cust, txn),
-            "int_customer_complaints": features.complaint_counts(cust, silver["complaints"]),
-            "int_customer_digital_score": features.digital_score(cust),
-            "int_customer_products": features.product_counts(cust, accounts, silver["cards"]),
-            "int_customer_balance": features.balances(cust, accounts),
-            "int_customer_nbi": features.nbi(cust, accounts, txn),
-            "int_customer_channel": features.majority_channel(cust, txn, silver["channels"]),
-            "int_customer_loans": features.max_dpd(cust, silver["loans"]),
+            **{f"stg_{t}": df for t, df in self.silver.items()},
+            "int_customer_recency": part("recency_jours"),
+            "int_customer_transaction_trend": part("tendance_transactions", "nb_txn_30j", "nb_txn_90j", "tendance_3m"),
+            "int_customer_complaints": part("nb_reclamations_total", "nb_reclamations_ouvertes", "nb_reclamations_severite_haute"),
+            "int_customer_digital_score": part("score_digital"),
+            "int_customer_products": part("nb_comptes", "nb_cartes", "nb_produits_total"),
+            "int_customer_balance": part("solde_total_xof", "avg_balance_90d_xof"),
+            "int_customer_nbi": part("nbi_estime_xof"),
+            "int_customer_channel": part("canal_majoritaire"),
+            "int_customer_loans": part("dpd_max"),
             "customer_360": self.customer_360,
             "customer_segments": self.customer_segments,
             "nba": self.nba,
