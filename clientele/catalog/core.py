@@ -75,8 +75,7 @@ def _(w: Warehouse) -> DataFrame:
 
 @over("src8_call_list_export")
 def _(w: Warehouse) -> DataFrame:
-    stats = opportunities.offer_stats(w.table("offers"))
-    return round_doubles(opportunities.call_list(w.customer_360, stats).drop("customer_id"), 4)
+    return round_doubles(opportunities.call_list(w.customer_360, w.offer_stats).drop("customer_id"), 4)
 
 
 @over("int1_recency")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-
 from clientele.catalog.core import Query
 from clientele.functions.columns import round_doubles
 from clientele.operators.reports import client, engagement, home, opportunities, portfolio, retention
@@ -23,10 +21,6 @@ def over(name, digits=6):
     return register
 
 
-def _stats(w: Warehouse) -> DataFrame:
-    return opportunities.offer_stats(w.table("offers"))
-
-
 over("rpt1_home_kpis")(lambda w: home.home_kpis(w.customer_360))
 over("rpt2_vip_alert")(lambda w: home.vip_alert(w.customer_360))
 over("rpt2_vip_alert_cut45")(lambda w: home.vip_alert(w.customer_360, 45))
@@ -68,19 +62,19 @@ over("rpt18d_complaint_points")(lambda w: retention.complaint_points(w.customer_
 over("rpt18d_complaints_vs_risk")(
     lambda w: retention.complaints_vs_risk(retention.complaint_points(w.customer_360, w.table("complaints")))
 )
-over("rpt19_call_list", 4)(lambda w: opportunities.call_list(w.customer_360, _stats(w)))
+over("rpt19_call_list", 4)(lambda w: opportunities.call_list(w.customer_360, w.offer_stats))
 over("rpt19_call_list_filtered", 4)(
-    lambda w: opportunities.call_list(w.customer_360, _stats(w), ["Premier", "Affluent"], "salary_upsell")
+    lambda w: opportunities.call_list(w.customer_360, w.offer_stats, ["Premier", "Affluent"], "salary_upsell")
 )
 over("rpt19_call_list_totals", 2)(
-    lambda w: opportunities.call_list_totals(opportunities.call_list(w.customer_360, _stats(w)))
+    lambda w: opportunities.call_list_totals(opportunities.call_list(w.customer_360, w.offer_stats))
 )
-over("rpt20_offer_stats")(_stats)
-over("rpt20_offer_summary")(lambda w: opportunities.offer_summary(_stats(w)))
-over("rpt21_cross_sell_potential", 2)(lambda w: opportunities.cross_sell_potential(w.customer_360, _stats(w)))
-over("rpt22_offer_matrix")(lambda w: opportunities.offer_matrix(_stats(w)))
-over("rpt23_offer_funnel")(lambda w: opportunities.offer_funnel(_stats(w)))
-over("rpt23_best_to_second")(lambda w: opportunities.best_to_second(_stats(w)))
+over("rpt20_offer_stats")(lambda w: opportunities.offer_stats(w.table("offers")))
+over("rpt20_offer_summary")(lambda w: opportunities.offer_summary(w.offer_stats))
+over("rpt21_cross_sell_potential", 2)(lambda w: opportunities.cross_sell_potential(w.customer_360, w.offer_stats))
+over("rpt22_offer_matrix")(lambda w: opportunities.offer_matrix(w.offer_stats))
+over("rpt23_offer_funnel")(lambda w: opportunities.offer_funnel(w.offer_stats))
+over("rpt23_best_to_second")(lambda w: opportunities.best_to_second(w.offer_stats))
 over("rpt24_search")(lambda w: client.search(w.customer_360, "nÂtion_7"))
 over("rpt24_search_suggestions")(lambda w: client.search(w.customer_360))
 over("rpt25_product_snapshot")(

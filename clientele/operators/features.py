@@ -152,11 +152,21 @@ def _top_channel(count_col: str) -> Column:
     return F.min_by("channel_name", order)
 
 
+def with_channel_name(per_channel: DataFrame, channels: DataFrame, how: str = "left") -> DataFrame:
+    """Name the channels of (customer, channel) rows.
+
+    The reduced rows are moved to their customer first: every later grouping by customer, or by customer and
+    name, and the join with customers then run where the rows are.
+    """
+    names = channels.select("channel_id", "channel_name")
+    return per_channel.repartition(F.col(ID)).join(names, "channel_id", how)
+
+
 def majority_channel(cust: DataFrame, txn: DataFrame, channels: DataFrame) -> DataFrame:
     """Counts shrink to (customer, channel) before they meet the channel list."""
     by_id = txn.groupBy(ID, "channel_id").agg(count_rows().alias("n"))
     by_name = (
-        by_id.join(channels.select("channel_id", "channel_name"), "channel_id", "left")
+        with_channel_name(by_id, channels)
         .groupBy(ID, "channel_name")
         .agg(F.sum("n").alias("n"))
     )
@@ -170,7 +180,7 @@ def max_dpd(cust: DataFrame, loans: DataFrame) -> DataFrame:
 
 
 def transaction_profile(txn: DataFrame, channels: DataFrame) -> DataFrame:
-    """Everything the mart needs from transactions in one scan and one shuffle of that scan.
+    """Everything the mart needs from transactions in one scan, which is reduced before it is shuffled.
 
     The scan is reduced to (customer, channel) counters; the second level works on a handful of rows per
     customer.
@@ -181,7 +191,7 @@ def transaction_profile(txn: DataFrame, channels: DataFrame) -> DataFrame:
         F.max("txn_datetime").alias("_last"), *[c.alias(n) for n, c in counters.items()]
     )
     by_name = (
-        by_id.join(channels.select("channel_id", "channel_name"), "channel_id", "left")
+        with_channel_name(by_id, channels)
         .groupBy(ID, "channel_name")
         .agg(F.max("_last").alias("_last"), *[F.sum(n).alias(n) for n in counters])
     )

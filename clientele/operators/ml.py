@@ -105,7 +105,7 @@ def _estimator(kind: str, n: int, seed: int, trees: int, rounds: int):
             regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False, maxIter=1000, **common
         )
     if kind == "random_forest":
-        return RandomForestClassifier(numTrees=trees, maxDepth=15, seed=seed, **common)
+        return RandomForestClassifier(numTrees=trees, maxDepth=15, maxMemoryInMB=1024, seed=seed, **common)
     if kind == "gbt":
         return GBTClassifier(maxIter=rounds, maxDepth=6, stepSize=0.3, seed=seed, **common)
     raise ValueError(f"train: unknown model kind {kind!r}")
@@ -281,11 +281,13 @@ def compare(
     def row(metrics: DataFrame, scenario: str, model: str) -> DataFrame:
         return metrics.select(F.lit(scenario).alias("scenario"), F.lit(model).alias("modele"), "auc", "recall", "precision", "f1")
 
-    rows = [
-        row(cross_validate(observed, "logistic", k, seed), "A", "logistic"),
-        row(evaluate_rules(observed), "A", "regles_metier"),
+    studies = [
+        ("A", "logistic", partial(cross_validate, observed, "logistic", k, seed)),
+        ("A", "regles_metier", partial(evaluate_rules, observed)),
+        *[("B", kind, partial(cross_validate, everyone, kind, k, seed, trees, rounds)) for kind in KINDS],
     ]
-    rows += [row(cross_validate(everyone, kind, k, seed, trees, rounds), "B", kind) for kind in KINDS]
+    metrics = run_all(c360.sparkSession, [study for _, _, study in studies])
+    rows = [row(m, scenario, model) for m, (scenario, model, _) in zip(metrics, studies, strict=True)]
     return union_all(rows)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientele.functions.columns import count_rows, exact_mean, share_pct
-from clientele.operators.features import ID, as_of
+from clientele.operators.features import ID, as_of, with_channel_name
 from clientele.operators.reports.common import mean_money, money, rag
 from clientele.operators.scoring import Signal, minmax_0_100
 
@@ -53,8 +53,9 @@ def latest_month_txn(txn: DataFrame) -> DataFrame:
 
 def channel_rates(c360: DataFrame, txn: DataFrame, channels: DataFrame) -> DataFrame:
     """Share of each segment's customers seen on each channel, in percent."""
-    wanted = channels.filter(F.col("channel_name").isin(*ADOPTION_GROUPS)).select("channel_id", "channel_name")
-    pairs = txn.select(ID, "channel_id").distinct().join(wanted, "channel_id").select(ID, "channel_name").distinct()
+    wanted = channels.filter(F.col("channel_name").isin(*ADOPTION_GROUPS))
+    used = txn.select(ID, "channel_id").distinct()
+    pairs = with_channel_name(used, wanted, "inner").select(ID, "channel_name").distinct()
     seen = c360.select(ID, "segment").join(pairs, ID).groupBy("segment", "channel_name").agg(count_rows().alias("n"))
     sizes = c360.groupBy("segment").agg(count_rows().alias("nb_clients"))
     rate = F.lit(100.0) * F.col("n").cast("double") / F.col("nb_clients").cast("double")

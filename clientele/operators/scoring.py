@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clientele.config import RULES, BusinessRules
 from clientele.functions.columns import MONEY_SUM, count_rows, round_half_up, whole_table_value
 from clientele.operators.features import ID, as_of, digital_score_column, nbi
+from clientele.sources.storage import store
 
 RISK_COLUMNS = ("customer_id", "recency_jours", "nb_reclamations_ouvertes", "score_digital", "tendance_transactions")
 
@@ -115,7 +116,8 @@ def engagement_score(
     """Engagement 0-100 from elapsed whole days, activity, digital channels and accounts.
 
     Unlike the mart's recency this counts elapsed days, and a customer without transactions takes the
-    longest inactivity seen.
+    longest inactivity seen. The raw signals are written once: the longest inactivity, the bounds and the
+    scores all read them.
     """
     seen = txn.groupBy(ID).agg(F.max("txn_datetime").alias("_last"), count_rows().alias("_txn"))
     elapsed = F.timestamp_diff("DAY", F.col("_last"), as_of(txn))
@@ -130,6 +132,7 @@ def engagement_score(
             F.coalesce(F.col("_accounts"), F.lit(0)).alias("_accounts"),
         )
     )
+    parts = store(parts, "engagement_signals")
     longest = whole_table_value(parts, longest=F.max("_elapsed"))
     filled = parts.withColumn("_recency_raw", F.coalesce(F.col("_elapsed"), longest["longest"]))
     signals = {

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from clientele.config import RULES, BusinessRules
 from clientele.operators import features, marts, staging
+from clientele.operators.reports import opportunities
 from clientele.sources.storage import store
 from clientele.sources.bank_tables import bank_table
 from clientele.sources.concurrent import run_all
@@ -114,6 +115,11 @@ class Warehouse:
     def nba(self) -> DataFrame:
         return self._keep(marts.next_best_action(self.customer_360), "gold/nba", ())
 
+    @cached_property
+    def offer_stats(self) -> DataFrame:
+        """Offer history by type: a few rows that several opportunity reports read more than once."""
+        return self._keep(opportunities.offer_stats(self.table("offers")), "silver/offer_stats", ())
+
     def gold(self) -> dict[str, DataFrame]:
         return {"customer_360": self.customer_360, "customer_segments": self.customer_segments, "nba": self.nba}
 
