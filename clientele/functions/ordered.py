@@ -28,6 +28,34 @@ def _range_edges(df: DataFrame, value: str, ranges: int) -> list[float]:
     return sorted(set(edges))
 
 
+def _ranged(counts: DataFrame, value: str, ranges: int | None) -> DataFrame:
+    """Add ``_range``, the number of the ordered range each value falls into.
+
+    The counts are written once, because edges, offsets and running totals all read them.
+    """
+    numeric = store(counts, "value_counts").withColumn("_position", F.col(value).cast("double"))
+    edges = _range_edges(numeric, "_position", ranges or _range_count(counts))
+    if not edges:
+        return numeric.withColumn("_range", F.lit(0)).drop("_position")
+    splits = [float("-inf"), *edges, float("inf")]
+    ranged = Bucketizer(splits=splits, inputCol="_position", outputCol="_bucket").transform(numeric)
+    return ranged.withColumn("_range", F.col("_bucket").cast("int")).drop("_position", "_bucket")
+
+
+def _range_offsets(ranged: DataFrame, totals: Sequence[str], by: Sequence[str], descending: bool = False) -> DataFrame:
+    """Per range: its own totals ``_sum_<t>`` and those of all ranges before it, ``_off_<t>``.
+
+    One row per range and group reaches the window, whatever the size of the data.
+    """
+    range_order = F.col("_range").desc() if descending else F.col("_range")
+    before = Window.partitionBy(*by).orderBy(range_order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        ranged.groupBy(*by, "_range")
+        .agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
+        .withColumns({f"_off_{t}": F.coalesce(F.sum(f"_sum_{t}").over(before), F.lit(0)) for t in totals})
+    )
+
+
 def prefix_sums(
     counts: DataFrame,
     value: str,
@@ -39,26 +67,11 @@ def prefix_sums(
     """Add ``cum_<t>`` (inclusive running total in ``value`` order) for each column of ``totals``.
 
     ``counts`` holds one row per (``by``, ``value``); ``value`` must be numeric and not NULL. Aggregating to
-    distinct values first is what makes a value shared by a third of all rows harmless. The counts are
-    written once, because edges, offsets and running totals all read them.
+    distinct values first is what makes a value shared by a third of all rows harmless.
     """
     by = list(by)
-    numeric = store(counts, "value_counts").withColumn("_position", F.col(value).cast("double"))
-    edges = _range_edges(numeric, "_position", ranges or _range_count(counts))
-    if edges:
-        splits = [float("-inf"), *edges, float("inf")]
-        ranged = Bucketizer(splits=splits, inputCol="_position", outputCol="_range").transform(numeric)
-    else:
-        ranged = numeric.withColumn("_range", F.lit(0.0))
-    ranged = ranged.withColumn("_range", F.col("_range").cast("int"))
-
-    range_order = F.col("_range").desc() if descending else F.col("_range")
-    before = Window.partitionBy(*by).orderBy(range_order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(*by, "_range")
-        .agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
-        .select(*by, "_range", *[F.coalesce(F.sum(f"_sum_{t}").over(before), F.lit(0)).alias(f"_off_{t}") for t in totals])
-    )
+    ranged = _ranged(counts, value, ranges)
+    offsets = _range_offsets(ranged, totals, by, descending).drop(*[f"_sum_{t}" for t in totals])
     value_order = F.col(value).desc() if descending else F.col(value)
     inside = (
         Window.partitionBy(*by, "_range").orderBy(value_order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -66,7 +79,7 @@ def prefix_sums(
     running = ranged.withColumns({f"_run_{t}": F.sum(t).over(inside) for t in totals})
     joined = running.join(offsets, [*by, "_range"])
     return joined.withColumns({f"cum_{t}": F.col(f"_run_{t}") + F.col(f"_off_{t}") for t in totals}).drop(
-        "_position", "_range", *[f"_run_{t}" for t in totals], *[f"_off_{t}" for t in totals]
+        "_range", *[f"_run_{t}" for t in totals], *[f"_off_{t}" for t in totals]
     )
 
 
@@ -97,8 +110,9 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per group (one row per ``by``; one row in all without ``by``).
 
-    Column names are the keys of ``probabilities``. NULLs are ignored. Unlike ``percentile`` no task holds
-    all distinct values of a group.
+    Column names are the keys of ``probabilities``. NULLs are ignored. The totals of the ordered ranges tell
+    which ranges hold the wanted ranks; only their values are ordered. Unlike ``percentile`` no task holds all
+    distinct values of a group.
     """
     by = list(by)
     counts = (
@@ -106,26 +120,37 @@ def exact_quantiles(
         .groupBy(*by, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    cumulative = prefix_sums(counts, "_v", ["n"], by)
-    if by:
-        sizes = counts.groupBy(*by).agg(F.sum("n").alias("_size"))
-        cumulative = cumulative.join(sizes, by)
-    else:
-        cumulative = cumulative.withColumn("_size", counts.agg(F.sum("n")).scalar())
+    ranged = _ranged(counts, "_v", None)
+
+    def position(p: float) -> Column:
+        return F.lit(float(p)) * (F.col("_size") - 1)
+
+    ranks = [rank(position(p)) for p in probabilities.values() for rank in (F.floor, F.ceil)]
+    holds: Column = F.lit(False)
+    for rank in ranks:
+        holds = holds | ((F.col("_off_n") <= rank) & (rank < F.col("_off_n") + F.col("_sum_n")))
+    wanted = (
+        _range_offsets(ranged, ["n"], by)
+        .withColumn("_size", F.sum("_sum_n").over(Window.partitionBy(*by)))
+        .filter(holds)
+        .select(*by, "_range", "_off_n", "_size")
+    )
+    inside = (
+        Window.partitionBy(*by, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    cumulative = ranged.join(wanted, [*by, "_range"]).withColumn("_cum", F.sum("n").over(inside) + F.col("_off_n"))
 
     def value_at(rank: Column) -> Column:
-        return F.min(F.when(F.col("cum_n") > rank, F.col("_v")))
+        return F.min(F.when(F.col("_cum") > rank, F.col("_v")))
 
-    bounds: list[Column] = [F.max("_size").alias("_size")]
+    bounds = [F.max("_size").alias("_size")]
     for name, p in probabilities.items():
-        position = F.lit(float(p)) * (F.col("_size") - 1)
-        bounds.append(value_at(F.floor(position)).alias(f"_lo_{name}"))
-        bounds.append(value_at(F.ceil(position)).alias(f"_hi_{name}"))
+        bounds.append(value_at(F.floor(position(p))).alias(f"_lo_{name}"))
+        bounds.append(value_at(F.ceil(position(p))).alias(f"_hi_{name}"))
     found = cumulative.groupBy(*by).agg(*bounds)
 
     def interpolated(name: str, p: float) -> Column:
-        position = F.lit(float(p)) * (F.col("_size") - 1)
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        return (low + (high - low) * (position - F.floor(position))).alias(name)
+        return (low + (high - low) * (position(p) - F.floor(position(p)))).alias(name)
 
     return found.select(*by, *[interpolated(name, p) for name, p in probabilities.items()])

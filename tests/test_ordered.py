@@ -58,7 +58,7 @@ def test_hash_rank_is_a_dense_order_inside_each_group(spark):
         assert [r["rank"] for r in own] == list(range(1, 2501))
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(values=st.lists(st.floats(-1e6, 1e6, allow_nan=False), min_size=1, max_size=40))
 def test_quantiles_of_any_values(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")

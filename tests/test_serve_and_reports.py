@@ -15,7 +15,7 @@ def test_at_risk_limit_and_order(bank):
 def test_profile_of_known_and_unknown(bank):
     top = serve.at_risk(bank.customer_360, k=1).first()["customer_id"]
     assert serve.profile(bank.customer_360, bank.nba, top).first()["next_best_action"]
-    assert serve.profile(bank.customer_360, bank.nba, "CLIENT_INEXISTANT").isEmpty()
+    assert serve.profile(bank.customer_360, bank.nba, "no such client").isEmpty()
 
 
 def test_cross_sell_limit(bank):
