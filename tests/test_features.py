@@ -118,3 +118,26 @@ def test_tagging_leaves_existing_flags(spark):
     df = spark.createDataFrame([(True,)], "is_synthetic boolean")
     assert staging.tag_real(df).first()[0] is True
     assert staging.tag_real(df.withColumnRenamed("is_synthetic", "x")).first()["is_synthetic"] is False
+
+
+def test_hot_customer_counts_exactly(spark, channels):
+    """One customer holding a third of all rows, spread over many partitions."""
+    from pyspark.sql import functions as F
+
+    n = 30000
+    txn = (
+        spark.range(n, numPartitions=16)
+        .select(
+            F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("C"), F.col("id") % 500)).alias("customer_id"),
+            (F.lit(REF).cast("timestamp_ntz") - F.make_dt_interval((F.col("id") % 200).cast("int"))).alias("txn_datetime"),
+            F.when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("CH"), F.col("id") % 2)).alias("channel_id"),
+        )
+    )
+    row = features.transaction_profile(txn, channels).filter("customer_id = 'HOT'").first()
+    ids = [i for i in range(n) if i % 3 == 0]
+    ages = [i % 200 for i in ids]
+    assert row["_n_txn"] == len(ids)
+    assert row["_r30"] == sum(a < 30 for a in ages) and row["_p30"] == sum(30 <= a < 60 for a in ages)
+    assert row["_r90"] == sum(a < 90 for a in ages) and row["_p90"] == sum(90 <= a < 180 for a in ages)
+    per_channel = {c: sum(1 for i in ids if i % 7 and i % 2 == k) for k, c in enumerate(["Mobile App", "ATM"])}
+    assert row["canal_majoritaire"] == min(per_channel, key=lambda c: (-per_channel[c], c))
