@@ -6,17 +6,50 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clientele.llm.bpe import encode_digests
+from clientele.llm.histogram_sort import RESULTS as SHARD_COLUMNS
+from clientele.llm.histogram_sort import shard_by_bytes
+from clientele.llm.pii_crf import BASE_KINDS, find_personal_data
+from clientele.llm.quality_rules import BASE, quality_report
 from clientele.llm.token_counts import count_tokens
+from clientele.llm.url_rules import DomainRule, judge_urls
 
 TOKEN_LIMIT = 512
+SHARDS = 8
+DOMAIN_RULES = [
+    DomainRule("block", "net", "/"), DomainRule("allow", "example.net", "/en/"),
+    DomainRule("block", "example.com", "/de/"), DomainRule("allow", "org", "/fr/"),
+]
+URL_PATTERNS = [
+    "||ads.*/", "/banners/*", "/popup^", "&sessionid=", "?utm_source=feed|", "*.exe|", "||tracker.^", "/de/*.html|",
+    "@@||org/de/", "/print^", "&ref=x|",
+]
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Which documents are good enough, by the base rule and the learned decision list?"""
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    report = quality_report(documents(spark, folder), labels)
+    return report.select("doc_id", *BASE, "base_failed", "kept", "rejected_by")
+
+
+def op2_pii_semi_markov(spark: SparkSession, folder: str) -> DataFrame:
+    """Which personal data does each document hold, and where?"""
+    found = find_personal_data(documents(spark, folder), keep=["doc_id"])
+    return found.select("doc_id", *[f"n_{k}" for k in BASE_KINDS], F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+def op3_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
+    """Which shard and slot does each document get, shards being equally large?"""
+    return shard_by_bytes(documents(spark, folder), SHARDS).select("doc_id", *SHARD_COLUMNS)
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """How many tokens has each document, and is it over the limit?"""
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,8 +61,53 @@ def op8_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
     return encode_digests(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
 
 
+def op9_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Which pages are blocked by domain rules or patterns?"""
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url")
+    judged = judge_urls(pages, DOMAIN_RULES, URL_PATTERNS)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_pii_semi_markov": op2_pii_semi_markov,
+    "op3_histogram_sort": op3_histogram_sort,
     "op4_token_counts": op4_token_counts,
     "op8_bpe_encode_decode": op8_bpe_encode_decode,
+    "op9_url_rules": op9_url_rules,
+}
+ORACLES: dict[str, str] = {
+    # patterns stand here as regular expressions of their own: those of URL_PATTERNS in order, exceptions last
+    "op9_url_rules": """
+        WITH parts AS (
+            SELECT page_id, url, translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+                   translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+            FROM pages),
+        fits AS (
+            SELECT *,
+                CASE WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+                     WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+                     WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+                     WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule,
+                list_filter([
+                    {'p': '@@||org/de/', 'f': regexp_matches(low, '^[^/?#]*?://([^/?#]*\.)?org/de/')},
+                    {'p': '&ref=x|', 'f': regexp_matches(low, '&ref=x$')},
+                    {'p': '&sessionid=', 'f': contains(low, '&sessionid=')},
+                    {'p': '*.exe|', 'f': regexp_matches(low, '\.exe$')},
+                    {'p': '/banners/*', 'f': contains(low, '/banners/')},
+                    {'p': '/de/*.html|', 'f': regexp_matches(low, '/de/.*\.html$', 's')},
+                    {'p': '/popup^', 'f': regexp_matches(low, '/popup([^a-z0-9_.%-]|$)')},
+                    {'p': '/print^', 'f': regexp_matches(low, '/print([^a-z0-9_.%-]|$)')},
+                    {'p': '?utm_source=feed|', 'f': regexp_matches(low, '\?utm_source=feed$')},
+                    {'p': '||ads.*/', 'f': regexp_matches(low, '^[^/?#]*?://([^/?#]*\.)?ads\..*/', 's')},
+                    {'p': '||tracker.^', 'f': regexp_matches(low, '^[^/?#]*?://([^/?#]*\.)?tracker\.([^a-z0-9_.%-]|$)')}
+                ], x -> x.f)[1].p AS pattern
+            FROM parts)
+        SELECT page_id, host, path, rule, pattern,
+               CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+                    WHEN pattern IS NULL OR starts_with(pattern, '@@') THEN 'allow' ELSE 'block' END AS verdict
+        FROM fits
+    """,
 }
-ORACLES: dict[str, str] = {}
