@@ -78,7 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     # patterns stand here as regular expressions of their own: those of URL_PATTERNS in order, exceptions last
-    "op9_url_rules": """
+    "op9_url_rules": r"""
         WITH parts AS (
             SELECT page_id, url, translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
                    translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1),
@@ -103,7 +103,7 @@ ORACLES: dict[str, str] = {
                     {'p': '?utm_source=feed|', 'f': regexp_matches(low, '\?utm_source=feed$')},
                     {'p': '||ads.*/', 'f': regexp_matches(low, '^[^/?#]*?://([^/?#]*\.)?ads\..*/', 's')},
                     {'p': '||tracker.^', 'f': regexp_matches(low, '^[^/?#]*?://([^/?#]*\.)?tracker\.([^a-z0-9_.%-]|$)')}
-                ], x -> x.f)[1].p AS pattern
+                ], lambda x: x.f)[1].p AS pattern
             FROM parts)
         SELECT page_id, host, path, rule, pattern,
                CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
