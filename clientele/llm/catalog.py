@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clientele.llm.bpe import encode_digests
 from clientele.llm.histogram_sort import RESULTS as SHARD_COLUMNS
 from clientele.llm.histogram_sort import shard_by_bytes
+from clientele.llm.ngram_join import similar_documents
 from clientele.llm.pii_crf import BASE_KINDS, find_personal_data
 from clientele.llm.quality_rules import BASE, quality_report
 from clientele.llm.token_counts import count_tokens
@@ -68,6 +69,11 @@ def op9_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Which documents are connected by similar sets of shingles?"""
+    return similar_documents(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii_semi_markov": op2_pii_semi_markov,
@@ -75,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op8_bpe_encode_decode": op8_bpe_encode_decode,
     "op9_url_rules": op9_url_rules,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 ORACLES: dict[str, str] = {
     # patterns stand here as regular expressions of their own: those of URL_PATTERNS in order, exceptions last
