@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.llm.bpe import encode_digests
+from clientele.llm.decontamination import find_overlaps
 from clientele.llm.histogram_sort import RESULTS as SHARD_COLUMNS
 from clientele.llm.histogram_sort import shard_by_bytes
+from clientele.llm.line_dedup import without_repeats
 from clientele.llm.ngram_join import similar_documents
 from clientele.llm.pii_crf import BASE_KINDS, find_personal_data
 from clientele.llm.quality_rules import BASE, quality_report
@@ -57,6 +59,21 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(documents(spark, folder), tokenizer, TOKEN_LIMIT, keep=["doc_id"])
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Which lines of each document are later copies of a repeated run, and what is left?"""
+    left = without_repeats(documents(spark, folder), keep=["doc_id"])
+    return left.select(
+        "doc_id", "n_lines", F.size("deleted").alias("n_deleted"), F.concat_ws(",", F.col("deleted").cast("array<string>")).alias("deleted"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
+def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Which documents hold passages of which benchmark items?"""
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text")
+    return find_overlaps(documents(spark, folder), benchmark)
+
+
 def op8_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and decoded text of each document, as digests."""
     return encode_digests(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
@@ -79,6 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii_semi_markov": op2_pii_semi_markov,
     "op3_histogram_sort": op3_histogram_sort,
     "op4_token_counts": op4_token_counts,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_bpe_encode_decode": op8_bpe_encode_decode,
     "op9_url_rules": op9_url_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
