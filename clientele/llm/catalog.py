@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clientele.llm.attention_lm import score_documents
 from clientele.llm.bpe import encode_digests
 from clientele.llm.decontamination import find_overlaps
 from clientele.llm.histogram_sort import RESULTS as SHARD_COLUMNS
@@ -74,6 +75,11 @@ def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return find_overlaps(documents(spark, folder), benchmark)
 
 
+def op7_attention_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """How likely is each document by word counts, and by the attention model?"""
+    return score_documents(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and decoded text of each document, as digests."""
     return encode_digests(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
@@ -98,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_line_dedup": op5_line_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_attention_lm": op7_attention_lm,
     "op8_bpe_encode_decode": op8_bpe_encode_decode,
     "op9_url_rules": op9_url_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
