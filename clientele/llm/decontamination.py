@@ -160,30 +160,28 @@ def _overlaps(docs: DataFrame, items: list[tuple], item_field: StructField, id_c
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The documents that overlap no item, judged row by row: ids play no part."""
-    body = F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row")
-    whole = docs.select(body, F.col(quoted(text)).alias("text"))
-    size = benchmark.agg(F.sum(F.length(quoted(text)))).first()[0] or 0
-    blocks = max(1, math.ceil(size / BLOCK_CHARACTERS))
+    """The documents that overlap no item, with their own columns; judged row by row, ids play no part."""
     items = benchmark.select(F.col(quoted(text)).alias("text"))
+    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, math.ceil(size / BLOCK_CHARACTERS))
+    numbered = items.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(blocks)))
     for k in range(blocks):
-        chosen = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k)
-        whole = _without(whole, [r["text"] for r in chosen.collect()])
-    return whole.select("row.*")
+        docs = _without(docs, [r["text"] for r in numbered.filter(F.col("block") == k).select("text").collect()], text)
+    return docs
 
 
-def _without(rows: DataFrame, items: list[str | None]) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(items)
+def _without(docs: DataFrame, items: list[str | None], text: str) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(shared.value)
         for batch in batches:
             keep = np.ones(batch.num_rows, dtype=bool)
             first = 0
-            for part in row_slices(batch.column(1)):
+            for part in row_slices(batch.column(text)):
                 for row, *_ in index.verified(hash_words(part)):
                     keep[first + row] = False
                 first += len(part)
             yield batch.filter(pa.array(keep))
 
-    return rows.mapInArrow(run, rows.schema)
+    return docs.mapInArrow(run, docs.schema)

@@ -22,6 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clientele.llm.arrow import quoted
 from clientele.sources.storage import store
 
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -228,6 +229,6 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that pass, with their own columns; learned from those of them that are labelled."""
     examples = store(labelled(text_counts(docs.select("doc_id", "text")).drop("text"), labels), "labelled_counts")
-    body = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
+    body = F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_row")
     passed = judged(text_counts(docs.select(body, F.col("text"))), learn(examples)).filter("kept")
     return passed.select("_row.*")
