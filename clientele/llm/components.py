@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from clientele.sources.storage import store
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
-    return row["n"], row["h"] or 0
+def _settled(edges: DataFrame) -> bool:
+    """Does every node have one larger-to-smaller edge, to a node that has none?"""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1))).groupBy("node").agg(F.sum("up").alias("ups"), F.sum("down").alias("downs"))
+    return ends.filter("ups > 1 or (ups = 1 and downs > 0)").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -31,16 +33,12 @@ def connected_components(links: DataFrame) -> DataFrame:
     """(``node``, ``component``) for each node of ``links`` (``a``, ``b``); the component is its smallest node.
 
     Smallest neighbours are found by aggregation and joined back, so a node with very many links is reduced before
-    it moves. Rounds end when the links no longer change: then each node is tied to its smallest one.
+    it moves. Rounds end when every node is tied to its smallest one directly.
     """
     edges = store(
         links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
     )
-    state = _state(edges)
-    while True:
+    while not _settled(edges):
         edges = store(_small_star(_large_star(edges)), "links")
-        before, state = state, _state(edges)
-        if state == before:
-            break
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -37,6 +37,7 @@ WIDTH = 5
 COUNTERS = 1 << 21  # of the table of token counts
 SLICES = 64  # pieces in which that table moves
 BITMAP = 1 << 23  # bits of the map of contents that meet another one
+CENTERS_GROW = 16  # a bucket's 1st center, then up to the 16th, the 256th, ...
 OTHER_ORDERS = (0x51ED270B35A3C1D7, 0xA24BAED4963EE407)  # tie-breaking seeds besides the first order
 CONTENT_SEED = np.uint64(0xD6E8FEB86659FD93)
 
@@ -291,8 +292,7 @@ def content_links(docs: DataFrame, text: str, levels: np.ndarray) -> DataFrame |
     flat = rows.select("*", *[F.col(f"best.{x}").alias(f"best_{x}") for x in ("c", "n", "pos")])
     pairs = flat.filter("rank > 1").filter(_can_link("", "best_")).select(*_pair("c", "best_c")).distinct()
     tested = store(pairs, "ngram_tested")
-    links = store(_verified(tested, contents), "ngram_links")
-    components = store(connected_components(links), "ngram_components")
+    components = store(connected_components(_verified(tested, contents)), "ngram_components")
     buckets, done = rows.select("token", "c", "n", "pos", "rank"), 1
     while True:
         member = buckets.join(components.withColumnRenamed("node", "c"), "c", "left").withColumn(
@@ -301,20 +301,20 @@ def content_links(docs: DataFrame, text: str, levels: np.ndarray) -> DataFrame |
         member = store(member, "ngram_members")
         open_tokens = member.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("rank").alias("last"))
         open_tokens = open_tokens.filter((F.col("x") != F.col("y")) & (F.col("last") > done + 1)).select("token")
-        member = store(member.join(open_tokens, "token", "left_semi"), "ngram_open")
-        center = member.filter(F.col("rank").between(done + 1, 2 * done + 1))
+        member = store(member.join(open_tokens, "token", "left_semi"), "ngram_members")
+        if member.isEmpty():
+            return components
+        center = member.filter(F.col("rank").between(done + 1, CENTERS_GROW * done))
         center = center.select("token", *[F.col(x).alias(f"center_{x}") for x in ("c", "n", "pos", "rank", "component")])
         across = member.join(center, "token").filter("rank > center_rank and component <> center_component")
         pairs = across.filter(_can_link("", "center_")).select(*_pair("c", "center_c")).distinct()
         pairs = store(pairs.join(tested, ["a", "b"], "left_anti"), "ngram_tested")
-        if member.isEmpty():
-            return components
-        done = 2 * done + 1
+        done *= CENTERS_GROW
         buckets = member.drop("component")
         if not pairs.isEmpty():
             tested = tested.union(pairs)
-            links = links.union(store(_verified(pairs, contents), "ngram_links"))
-            components = store(connected_components(links), "ngram_components")
+            known = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            components = store(connected_components(known.union(_verified(pairs, contents))), "ngram_components")
 
 
 def similar_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
