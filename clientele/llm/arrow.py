@@ -43,7 +43,17 @@ def map_columns(
                 columns = [batch.column(c) for c in kept] + compute(batch)
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.select(*[quoted(c) for c in dict.fromkeys([*kept, *needs])]).mapInArrow(run, schema)
+    return map_batches(df.select(*[quoted(c) for c in dict.fromkeys([*kept, *needs])]), run, schema)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType) -> DataFrame:
+    """``mapInArrow`` for columns of any name (its own lookup of columns takes dots and backticks as syntax)."""
+    names = df.columns
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return run(pa.RecordBatch.from_arrays(b.columns, names=names) for b in batches)
+
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(named, schema)
 
 
 def quoted(name: str) -> str:

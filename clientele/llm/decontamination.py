@@ -25,9 +25,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
-from clientele.llm.arrow import Words, hash_words, mixed, quoted, row_slices
+from clientele.llm.arrow import Words, hash_words, map_batches, mixed, quoted, row_slices
 
 SPAN = 12
 #: Kept positions of each mask; any two substitutions further apart than a few words leave one mask untouched.
@@ -150,7 +151,7 @@ def _overlaps(docs: DataFrame, items: list[tuple], item_field: StructField, id_c
                 first += len(part)
                 if best:
                     yield pa.RecordBatch.from_arrays([
-                        ids.take(pa.array(rows, pa.int64())), pa.array([shared.value[i][0] for _, i in best]),
+                        ids.take(pa.array(rows, pa.int64())), pa.array([shared.value[i][0] for _, i in best], to_arrow_type(item_id.dataType)),
                         pa.array([n for n, _ in best.values()], pa.int64()),
                         pa.array([n / len(index.items[i]) for (_, i), (n, _) in best.items()], pa.float64()),
                         pa.array([-s for _, s in best.values()], pa.int64()),
@@ -184,4 +185,4 @@ def _without(docs: DataFrame, items: list[str | None], text: str) -> DataFrame:
                 first += len(part)
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

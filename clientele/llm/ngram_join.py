@@ -96,7 +96,7 @@ def ranked(tokens: np.ndarray, levels: np.ndarray, seed: int, n: int) -> np.ndar
 def _profile(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """Per document its content and number of shingles; per task the slices of its table of token counts."""
     field = StructField("id", docs.schema[id_column].dataType)
-    schema = StructType([field]).add("content", "long").add("n", "long").add("slice", "integer").add("counts", "binary")
+    schema = StructType([field]).add("h", "long").add("content", "long").add("n", "long").add("slice", "integer").add("counts", "binary")
     arrow_id = None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +107,7 @@ def _profile(docs: DataFrame, id_column: str, text: str) -> DataFrame:
         for batch in batches:
             arrow_id = batch.schema.field(0).type
             contents, sizes = [], []
-            for part in row_slices(batch.column(1)):
+            for part in row_slices(batch.column(2)):
                 words = hash_words(part)
                 own = sequence_hashes(words)
                 for c, tokens in zip(own.tolist(), shingle_sets(words, own), strict=True):
@@ -122,16 +122,17 @@ def _profile(docs: DataFrame, id_column: str, text: str) -> DataFrame:
             n = np.array(sizes, dtype=np.int64)
             content = pa.array(np.concatenate(contents), mask=n == 0)
             nothing = [pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), content, pa.array(n), *nothing], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), content, pa.array(n), *nothing], names=schema.names)
         if waiting:
             counts += np.bincount(np.concatenate(waiting), minlength=COUNTERS)
         if arrow_id is not None:
             pieces = [zlib.compress(x.astype(np.int64).tobytes(), 1) for x in np.split(counts, SLICES)]
-            none = [pa.nulls(SLICES, t) for t in (arrow_id, pa.int64(), pa.int64())]
+            none = [pa.nulls(SLICES, t) for t in (arrow_id, pa.int64(), pa.int64(), pa.int64())]
             numbers = pa.array(range(SLICES), pa.int32())
             yield pa.RecordBatch.from_arrays([*none, numbers, pa.array(pieces, pa.binary())], names=schema.names)
 
-    return docs.select(F.col(quoted(id_column)).alias("id"), F.col(quoted(text)).alias("text")).mapInArrow(run, schema)
+    own = F.col(quoted(text))
+    return docs.select(F.col(quoted(id_column)).alias("id"), F.xxhash64(own).alias("h"), own.alias("text")).mapInArrow(run, schema)
 
 
 def _levels(slices: DataFrame) -> np.ndarray:
@@ -317,11 +318,11 @@ def content_links(docs: DataFrame, text: str, levels: np.ndarray) -> DataFrame |
             components = store(connected_components(known.union(_verified(pairs, contents))), "ngram_components")
 
 
-def similar_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, ``n_shingles``, ``component_id``) of each document; see the module text."""
+def _judged(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """(``id``, ``h``, ``n_shingles``, ``component_id``) of each document; ``h`` is the hash of its text."""
     profile = store(_profile(docs, id_column, text), "ngram_profile")
     levels = _levels(profile.filter("slice is not null"))
-    own = profile.filter("slice is null").select(F.col("id"), "content", F.col("n").alias("n_shingles"))
+    own = profile.filter("slice is null").select("id", "h", "content", F.col("n").alias("n_shingles"))
     components = content_links(docs, text, levels)
     if components is None:
         own = own.withColumn("group", F.col("content"))
@@ -329,15 +330,24 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "t
         own = own.join(components.withColumnRenamed("node", "content"), "content", "left")
         own = own.withColumn("group", F.coalesce("component", "content"))
     smallest = own.filter("group is not null").groupBy("group").agg(F.min("id").alias("smallest"))
-    return own.join(smallest, "group", "left").select(
-        F.col("id").alias(id_column), "n_shingles", F.when(F.col("group").isNull(), F.col("id")).otherwise(F.col("smallest")).alias("component_id")
-    )
+    named = F.when(F.col("group").isNull(), F.col("id")).otherwise(F.col("smallest"))
+    return own.join(smallest, "group", "left").select("id", "h", "n_shingles", named.alias("component_id"))
+
+
+def similar_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, ``n_shingles``, ``component_id``) of each document; see the module text."""
+    return _judged(docs, id_column, text).select(F.col("id").alias(id_column), "n_shingles", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that name their component, once each: rows equal in id and text are one document."""
-    kept = similar_documents(docs, id_column, text).filter(F.col(id_column).eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col(id_column).alias("_kept")).distinct()
-    rows = docs.join(kept, F.col(quoted(id_column)).eqNullSafe(F.col("_kept")), "left_semi")
-    same = Window.partitionBy(quoted(id_column), F.xxhash64(quoted(text))).orderBy(F.lit(1))
+    """The documents that name their component, with their own columns.
+
+    Rows equal in id and text are one document, of which one row stays. A component of NULL ids only keeps each of
+    its different texts.
+    """
+    kept = _judged(docs, id_column, text).filter(F.col("id").eqNullSafe(F.col("component_id")))
+    kept = kept.select(F.col("id").alias("_id"), F.col("h").alias("_h")).distinct()
+    own = F.xxhash64(quoted(text))
+    rows = docs.join(kept, (own == F.col("_h")) & F.col(quoted(id_column)).eqNullSafe(F.col("_id")), "left_semi")
+    same = Window.partitionBy(quoted(id_column), own).orderBy(F.lit(1))
     return rows.withColumn("_copy", F.row_number().over(same)).filter("_copy = 1").drop("_copy")
