@@ -15,6 +15,8 @@ of the input named like a result are replaced; an empty table gives an empty res
 
 from __future__ import annotations
 
+import functools
+import os
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -26,13 +28,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from clientele.llm.arrow import map_columns, quoted, texts
-from clientele.llm.bpe import PLAIN
+from clientele.llm.bpe import PLAIN, parts_of
 
 FREQUENT = 1 << 14  # entries of the broadcast table
 LONGEST_FREQUENT = 64  # characters of an entry: with FREQUENT this bounds the broadcast to a few MB
 SUMMARY = 1 << 16  # entries of a task's frequency table
 SENT = 1 << 13  # entries a task reports
-CACHE = 200_000  # entries of a worker's table
+CACHE = 400_000  # entries of a worker's table
 SPLIT_RUN = re.compile(r"\s (?:\s|\Z)")  # a space inside a run of white space, where pieces don't stand alone
 
 
@@ -86,7 +88,39 @@ def load(tokenizer: str) -> Tokenizer:
 
 
 def lengths(library: Tokenizer, batch: list[str]) -> list[int]:
-    return [len(e.ids) for e in library.encode_batch(batch, add_special_tokens=False)]
+    return [len(e) for e in library.encode_batch_fast(batch, add_special_tokens=False)] if batch else []
+
+
+class PieceCounter:
+    """A worker's tokenizer with both tiers of known pieces."""
+
+    def __init__(self, tokenizer: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already use the cores
+        self.library = load(tokenizer)
+        specials = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(specials) or r"(?!)")
+        self.frequent: dict[str, int] = {}
+        self.known: dict[str, int] = {}
+
+    def count(self, batch: list[str]) -> list[int]:
+        """Tokens of each text; pieces not known yet are encoded together."""
+        split = [pieces(t) if separable(t) and not self.special.search(t) else [t] for t in batch]
+        first = lengths(self.library, [p[0] for p in split])
+        met = {p for parts in split for p in parts[1:]}
+        missing = met.difference(self.known)
+        if len(self.known) + len(missing) > CACHE:
+            self.known = {p: self.known[p] for p in met.intersection(self.known)}
+        self.known.update(self.frequent)
+        missing = list(met.difference(self.known))
+        self.known.update(zip(missing, lengths(self.library, [" " + p for p in missing]), strict=True))
+        known = self.known.__getitem__
+        return [n + sum(map(known, parts[1:])) for n, parts in zip(first, split, strict=True)]
+
+
+@functools.lru_cache(maxsize=2)
+def _counter(tokenizer: str) -> PieceCounter:
+    """One per worker process, whatever the number of tasks it runs."""
+    return PieceCounter(tokenizer)
 
 
 def count_tokens(
@@ -96,26 +130,11 @@ def count_tokens(
     table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, tokenizer, text))
 
     def start() -> Callable[[pa.RecordBatch], list[pa.Array]]:
-        library = load(tokenizer)
-        specials = [re.escape(t.content) for t in library.get_added_tokens_decoder().values()]
-        special = re.compile("|".join(specials) or r"(?!)")
-        known = dict(table.value)
-
-        def count(t: str) -> int:
-            if special.search(t) or not separable(t):
-                return lengths(library, [t])[0]
-            first, *rest = pieces(t)
-            missing = list(set(rest).difference(known))
-            if len(known) + len(missing) > CACHE:
-                known.clear()
-                known.update(table.value)
-                missing = list(set(rest).difference(known))
-            if missing:
-                known.update(zip(missing, lengths(library, [" " + p for p in missing]), strict=True))
-            return lengths(library, [first])[0] + sum(map(known.__getitem__, rest))
+        counter = _counter(tokenizer)
+        counter.frequent = table.value
 
         def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-            counts = [count(t) for t in texts(batch, text)]
+            counts = [n for part in parts_of(texts(batch, text)) for n in counter.count(part)]
             size = pc.fill_null(pc.binary_length(batch.column(text)), 0).cast(pa.int64())
             return [size, pa.array(counts, pa.int64()), pa.array([n > limit for n in counts], pa.bool_())]
 
