@@ -230,5 +230,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that pass, with their own columns; learned from those of them that are labelled."""
     examples = store(labelled(text_counts(docs.select("doc_id", "text")).drop("text"), labels), "labelled_counts")
     body = F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_row")
-    passed = judged(text_counts(docs.select(body, F.col("text"))), learn(examples)).filter("kept")
+    judged_rows = judged(text_counts(docs.select(body, F.col("text"))), learn(examples))
+    # a filter that moved below the counts would compute them anew for each use: one on the task's number stays above
+    passed = judged_rows.withColumn("_task", F.spark_partition_id()).filter("kept and _task >= 0")
     return passed.select("_row.*")
