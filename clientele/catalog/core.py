@@ -73,11 +73,6 @@ def _(w: Warehouse) -> DataFrame:
     return retention.retention_list(w.customer_360, w.nba, "reclamations")
 
 
-@over("src8_call_list_export")
-def _(w: Warehouse) -> DataFrame:
-    return round_doubles(opportunities.call_list(w.customer_360, w.offer_stats).drop("customer_id"), 4)
-
-
 @over("int1_recency")
 def _(w: Warehouse) -> DataFrame:
     return features.recency(w.table("customers"), w.table("transactions"))
@@ -188,8 +183,8 @@ def _(w: Warehouse) -> DataFrame:
 
 @over("sem1_time_spine_activity")
 def _(w: Warehouse) -> DataFrame:
-    """The spine over the years of the data, with each day's transactions (days without any stay NULL)."""
-    spine = semantic.time_spine(w.bronze("transactions").sparkSession, "1995-01-01", "2001-12-31")
+    """The spine over the days of the data, with each day's transactions (days without any stay NULL)."""
+    spine = semantic.spine_over(w.bronze("transactions"), "txn_datetime")
     daily = (
         w.bronze("transactions").groupBy(F.col("txn_datetime").cast("date").alias("date_day"))
         .agg(F.count(F.lit(1)).alias("nb_txn"))

@@ -56,6 +56,19 @@ def _range_offsets(ranged: DataFrame, totals: Sequence[str], by: Sequence[str],
     )
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on equal keys where NULL equals NULL: a group without a name is a group too."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(renamed, same).drop(*[f"_right_{k}" for k in keys])
+
+
+def known_value(df: DataFrame, value: str) -> Column:
+    """Not missing: neither NULL nor NaN."""
+    present = F.col(value).isNotNull()
+    return present & ~F.isnan(value) if df.schema[value].dataType.typeName() in ("double", "float") else present
+
+
 def prefix_sums(
     counts: DataFrame,
     value: str,
@@ -77,7 +90,7 @@ def prefix_sums(
         Window.partitionBy(*by, "_range").orderBy(value_order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     running = ranged.withColumns({f"_run_{t}": F.sum(t).over(inside) for t in totals})
-    joined = running.join(offsets, [*by, "_range"])
+    joined = join_groups(running, offsets, [*by, "_range"])
     return joined.withColumns({f"cum_{t}": F.col(f"_run_{t}") + F.col(f"_off_{t}") for t in totals}).drop(
         "_range", *[f"_run_{t}" for t in totals], *[f"_off_{t}" for t in totals]
     )
@@ -99,7 +112,7 @@ def hash_rank(df: DataFrame, hash_col: str, tie: str, by: Sequence[str] = (), ra
     inside = Window.partitionBy(*by, "_range").orderBy(hash_col, tie)
     return (
         ranged.withColumn("_row", F.row_number().over(inside))
-        .join(offsets, [*by, "_range"])
+        .transform(lambda rows: join_groups(rows, offsets, [*by, "_range"]))
         .withColumn(rank_col, F.col("_row").cast("bigint") + F.col("_off"))
         .drop("_range", "_row", "_off")
     )
@@ -110,14 +123,15 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per group (one row per ``by``; one row in all without ``by``).
 
-    Column names are the keys of ``probabilities``. NULLs are ignored. The totals of the ordered ranges tell
+    Column names are the keys of ``probabilities``. NULL and NaN are ignored. Values are counted and ordered in their
+    own type; decimals beyond 2**53 stay apart, and only interpolation goes through doubles. The totals of the ordered ranges tell
     which ranges hold the wanted ranks; only their values are ordered. Unlike ``percentile`` no task holds all
     distinct values of a group.
     """
     by = list(by)
     counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias("_v"))
+        df.filter(known_value(df, value))
+        .groupBy(*by, F.col(value).alias("_v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     ranged = _ranged(counts, "_v", None)
@@ -138,7 +152,7 @@ def exact_quantiles(
     inside = (
         Window.partitionBy(*by, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    cumulative = ranged.join(wanted, [*by, "_range"]).withColumn("_cum", F.sum("n").over(inside) + F.col("_off_n"))
+    cumulative = join_groups(ranged, wanted, [*by, "_range"]).withColumn("_cum", F.sum("n").over(inside) + F.col("_off_n"))
 
     def value_at(rank: Column) -> Column:
         return F.min(F.when(F.col("_cum") > rank, F.col("_v")))
@@ -150,7 +164,7 @@ def exact_quantiles(
     found = cumulative.groupBy(*by).agg(*bounds)
 
     def interpolated(name: str, p: float) -> Column:
-        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        low, high = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
         return (low + (high - low) * (position(p) - F.floor(position(p)))).alias(name)
 
     return found.select(*by, *[interpolated(name, p) for name, p in probabilities.items()])

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from clientele.config import RULES, BusinessRules
 from clientele.functions.columns import count_rows, portable_hash, round_half_up, whole_table_value
-from clientele.functions.ordered import exact_quantiles, hash_rank, prefix_sums
+from clientele.functions.ordered import exact_quantiles, hash_rank, known_value, prefix_sums
 from clientele.operators.eda import union_all
 from clientele.operators.features import ID
 from clientele.operators.scoring import rule_score
@@ -219,10 +219,10 @@ def psi(reference: DataFrame, current: DataFrame, column: str, bins: int = 10) -
     def shares(df: DataFrame, name: str) -> DataFrame:
         inner = F.slice(F.col("_edges"), F.lit(2), F.greatest(F.size("_edges") - 2, F.lit(0)))
         bin_number = F.size(F.filter(inner, lambda e: e < F.col("_x")))
-        known = df.filter(value.isNotNull()).select(value.alias("_x")).withColumn("_edges", edge_list)
+        known = df.filter(known_value(df, column)).select(value.alias("_x")).withColumn("_edges", edge_list)
         return known.groupBy(bin_number.alias("bin"), F.size("_edges").alias("_n_edges")).agg(count_rows().alias(name))
 
-    both = shares(reference, "r").join(shares(current, "c"), ["bin", "_n_edges"], "full")
+    both = store(shares(reference, "r").join(shares(current, "c"), ["bin", "_n_edges"], "full"), "psi_bins")
     total = whole_table_value(both, r=F.sum("r"), c=F.sum("c"))
 
     def share(name: str) -> Column:

@@ -33,6 +33,13 @@ def time_spine(spark: SparkSession, start: str = SPINE_START, end: str = SPINE_E
     return spark.range(1).select(F.explode(days).alias("date_day"))
 
 
+def spine_over(df: DataFrame, stamp: str) -> DataFrame:
+    """One row per day from the first to the last stamp of ``df``; none if it has no stamp."""
+    day = F.col(stamp).cast("date")
+    ends = df.agg(F.min(day).alias("first"), F.max(day).alias("last")).filter("first is not null")
+    return ends.select(F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("date_day"))
+
+
 def metric(
     c360: DataFrame, names: Sequence[str], by: Sequence[str] = (), grain: str | None = None,
     spine: DataFrame | None = None,

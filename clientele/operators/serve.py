@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import ParseException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,9 +74,19 @@ def complaint_analysis(complaints: DataFrame, category: str | None = None) -> Da
 
 
 def query(spark: SparkSession, tables: dict[str, DataFrame], sql: str, **args: object) -> DataFrame:
-    """Free read-only SQL over silver and gold tables with bound parameters (``:name``)."""
-    if not sql.lstrip().lower().startswith(("select", "with", "from", "values")):
-        raise ValueError("query: only SELECT statements are allowed")
+    """Free read-only SQL over silver and gold tables with bound parameters (``:name``).
+
+    The text stands as a subquery, where no statement that writes can be parsed. The given tables are put in front
+    as views that live for the duration of the call only.
+    """
+    renamed = {name: f"_{uuid.uuid4().hex}_{name}" for name in tables}
     for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql, args=args or None)
+        df.createOrReplaceTempView(renamed[name])
+    named = ", ".join(f"`{name}` AS (SELECT * FROM `{view}`)" for name, view in renamed.items())
+    try:
+        return spark.sql(f"WITH {named} SELECT * FROM (\n{sql}\n) AS q" if named else f"SELECT * FROM (\n{sql}\n) AS q", args=args or None)
+    except ParseException as error:
+        raise ValueError("query: only SELECT statements are allowed") from error
+    finally:
+        for view in renamed.values():
+            spark.catalog.dropTempView(view)

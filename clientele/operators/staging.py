@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.config import RULES
-from clientele.sources.schemas import COLUMNS, REFERENCE_TABLES
+from clientele.sources.schemas import COLUMNS
 
 
 def tag_real(df: DataFrame) -> DataFrame:
-    """Mark rows as observed only when the source does not say."""
-    return df if "is_synthetic" in df.columns else df.withColumn("is_synthetic", F.lit(False))
+    """Mark rows as observed where the source does not say: no such column, or NULL in it."""
+    said = F.col("is_synthetic").cast("boolean") if "is_synthetic" in df.columns else F.lit(None).cast("boolean")
+    return df.withColumn("is_synthetic", F.coalesce(said, F.lit(False)))
 
 
 def _typed(df: DataFrame, table: str) -> DataFrame:
@@ -90,15 +91,3 @@ def stg_complaints(real: DataFrame, synth: DataFrame | None = None) -> DataFrame
 
 def stg_offers(real: DataFrame, synth: DataFrame | None = None) -> DataFrame:
     return _union(real, synth, "offers")
-
-
-def build_silver(bronze: dict[str, tuple[DataFrame, DataFrame | None]], dpd_threshold: int = RULES.dpd_threshold_days) -> dict[str, DataFrame]:
-    """All ten staging models from bronze twins (observed, generated)."""
-    transactions = stg_transactions(*bronze["transactions"])
-    silver = {"transactions": transactions}
-    silver["accounts"] = stg_accounts(*bronze["accounts"], transactions)
-    silver["loans"] = stg_loans(*bronze["loans"], dpd_threshold)
-    for table, (real, synth) in bronze.items():
-        if table not in silver:
-            silver[table] = _union(real.drop("is_synthetic") if table in REFERENCE_TABLES else real, synth, table)
-    return silver

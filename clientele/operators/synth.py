@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clientele.config import RULES
 from clientele.functions.columns import count_rows, portable_hash, whole_table_value
-from clientele.functions.ordered import hash_rank, prefix_sums
+from clientele.functions.ordered import hash_rank, known_value, prefix_sums
 from clientele.operators.features import ID
 from clientele.operators.staging import tag_real
 from clientele.sources.schemas import COLUMNS, KEYS, REFERENCE_TABLES
@@ -109,11 +109,12 @@ def ks_2samp(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
         b.select(F.col(column).alias("_x"), F.lit(0).alias("a"), F.lit(1).alias("b"))
     )
     counts = (
-        sample.filter(F.col("_x").isNotNull()).groupBy(F.col("_x").cast("double").alias("_x"))
+        sample.filter(known_value(sample, "_x")).groupBy(F.col("_x").cast("double").alias("_x"))
         .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     )
+    counts = store(counts, "ks_counts")
     running = prefix_sums(counts, "_x", ["a", "b"])
-    size = whole_table_value(running, a=F.sum("a"), b=F.sum("b"))
+    size = whole_table_value(counts, a=F.sum("a"), b=F.sum("b"))
     distance = F.abs(F.col("cum_a") / F.nullif(size["a"], F.lit(0)) - F.col("cum_b") / F.nullif(size["b"], F.lit(0)))
     found = running.agg(F.sum("a").alias("n_a"), F.sum("b").alias("n_b"), F.max(distance).alias("statistique"))
     root = F.sqrt(F.col("n_a") * F.col("n_b") / (F.col("n_a") + F.col("n_b"))) * F.col("statistique")

@@ -91,8 +91,8 @@ SELECT customer_id, CASE WHEN risque_composite >= 70 THEN 'high' WHEN risque_com
   AS niveau FROM c360""")
 sql("sem1_time_spine_activity", """
 SELECT s.date_day, d.nb_txn
-FROM (SELECT CAST(generate_series AS DATE) AS date_day
-      FROM generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) s
+FROM (SELECT CAST(unnest(generate_series(CAST(min(txn_datetime) AS DATE), CAST(max(txn_datetime) AS DATE), INTERVAL 1 DAY)) AS DATE)
+        AS date_day FROM stg_transactions) s
 LEFT JOIN (SELECT CAST(txn_datetime AS DATE) AS date_day, count(*) AS nb_txn FROM stg_transactions GROUP BY 1) d
   ON d.date_day = s.date_day""")
 _METRICS = """CAST(sum(CAST(risque_composite AS DECIMAL(5,1))) AS DOUBLE) / count(*) AS risque_composite_moyen,

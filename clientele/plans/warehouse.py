@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from clientele.config import RULES, BusinessRules
 from clientele.operators import features, marts, staging
 from clientele.operators.reports import opportunities
+from clientele.operators.staging import tag_real
 from clientele.sources.storage import store
 from clientele.sources.bank_tables import bank_table
 from clientele.sources.concurrent import run_all
@@ -45,7 +46,7 @@ class Warehouse:
     # bronze -----------------------------------------------------------------------------------------
     def bronze(self, table: str) -> DataFrame:
         if table not in self._bronze:
-            rows = self._source(table)
+            rows = tag_real(self._source(table))
             name = f"bronze/{table}"
             if table == "transactions":
                 by_month = rows.withColumn(MONTH, F.date_format("txn_datetime", "yyyy-MM"))

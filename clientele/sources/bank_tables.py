@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.sources.schemas import REFERENCE_TABLES
 
 def _padded_id(prefix: str, key: str) -> str:
     """Key padded to eight digits and never cut, so that ids stay unique beyond 99,999,999 customers."""
@@ -20,6 +19,22 @@ def _padded_id(prefix: str, key: str) -> str:
     return f"'{prefix}'||lpad({digits},cast(greatest(8,length({digits})) as int),'0')"
 
 
+#: Some customers have no history of a kind: their rows belong to a neighbour, so that no row is left out. The key
+#: names an account, and rows on it belong to that account's owner.
+ORDER_KEY = "(o_custkey-case when o_custkey%50=49 then 1 else 0 end)"
+CARD_KEY = "(case when c_custkey%10<3 then greatest(1,c_custkey-c_custkey%10-1) else c_custkey end)"
+
+
+def _owner(key: str) -> str:
+    return f"({key}-case when {key}%17=16 then 1 else 0 end)"
+
+
+# The five service channels, one per region.
+_CHANNEL_NAME = (
+    "case r_regionkey when 0 then 'Mobile App' when 1 then 'Internet Banking' when 2 then 'ATM' when 3 then "
+    "'Agent / Mobile Money' else 'Branch' end"
+)
+
 # Derivation of every column.
 COLUMN_RULES: dict[str, dict[str, str]] = {
     "customers": {
@@ -59,7 +74,7 @@ COLUMN_RULES: dict[str, dict[str, str]] = {
     },
     "accounts": {
         "account_id": _padded_id("A", "c_custkey") + "||'-'||cast(i as string)",
-        "customer_id": _padded_id("C", "c_custkey"),
+        "customer_id": _padded_id("C", _owner("c_custkey")),
         "account_type": (
             "case when i=0 and c_mktsegment='MACHINERY' then 'Student' when i=0 then "
             "'Current' when i=1 then 'Savings' else 'Premier Current' end"
@@ -72,7 +87,7 @@ COLUMN_RULES: dict[str, dict[str, str]] = {
         "current_balance_xof": "cast(round(c_acctbal*1000/(i+1),0) as decimal(15,2))",
         "salary_domiciled_flag": "(c_custkey%6=0 and i=0)",
         "overdraft_limit_xof": "cast(50000*(i+1) as decimal(15,2))",
-        "is_synthetic": "c_custkey%4=3",
+        "is_synthetic": _owner("c_custkey") + "%4=3",
     },
     "transactions": {
         "txn_id": (
@@ -80,8 +95,8 @@ COLUMN_RULES: dict[str, dict[str, str]] = {
             "string)||'-'||cast(l_partkey as string)||'-'||cast(l_suppkey as "
             "string)||'-'||cast(l_shipdate as date)"
         ),
-        "account_id": _padded_id("A", "o_custkey") + "||'-0'",
-        "customer_id": _padded_id("C", "o_custkey"),
+        "account_id": _padded_id("A", ORDER_KEY) + "||'-0'",
+        "customer_id": _padded_id("C", _owner(ORDER_KEY)),
         "txn_datetime": "l_shipdate",
         "txn_type": (
             "case when l_partkey%160=0 then 'salary_credit' else case l_partkey%9 when 0 then"
@@ -98,12 +113,12 @@ COLUMN_RULES: dict[str, dict[str, str]] = {
         "city": "'CITY'||cast(l_suppkey%7 as string)",
         "is_international": "l_returnflag='N' and l_linestatus='F'",
         "is_disputed": "l_returnflag='R' and l_partkey%50=1",
-        "is_synthetic": "o_custkey%4=3",
+        "is_synthetic": _owner(ORDER_KEY) + "%4=3",
     },
     "loans": {
         "loan_id": "'L'||cast(o_orderkey as string)",
-        "customer_id": _padded_id("C", "o_custkey"),
-        "repayment_account_id": _padded_id("A", "o_custkey") + "||'-0'",
+        "customer_id": _padded_id("C", _owner(ORDER_KEY)),
+        "repayment_account_id": _padded_id("A", ORDER_KEY) + "||'-0'",
         "loan_type": (
             "case o_orderkey%3 when 0 then 'Asset Finance' when 1 then 'Personal Loan' else "
             "'Salary Advance' end"
@@ -122,12 +137,12 @@ COLUMN_RULES: dict[str, dict[str, str]] = {
         "purpose": "'P'||cast(o_orderkey%6 as string)",
         "collateral_flag": "o_orderkey%2=0",
         "next_due_date": "cast(o_orderdate + interval 30 day as date)",
-        "is_synthetic": "o_custkey%4=3",
+        "is_synthetic": _owner(ORDER_KEY) + "%4=3",
     },
     "cards": {
         "card_id": _padded_id("K", "c_custkey") + "||'-'||cast(i as string)",
-        "customer_id": _padded_id("C", "c_custkey"),
-        "account_id": _padded_id("A", "c_custkey") + "||'-0'",
+        "customer_id": _padded_id("C", _owner(CARD_KEY)),
+        "account_id": _padded_id("A", CARD_KEY) + "||'-0'",
         "card_type": "case (c_custkey+i)%3 when 0 then 'Credit' when 1 then 'Debit' else 'Prepaid' end",
         "card_tier": "case when c_custkey%4=0 then 'Gold' else 'Classic' end",
         "network": "case when c_custkey%2=0 then 'NET-A' else 'NET-B' end",
@@ -137,7 +152,7 @@ COLUMN_RULES: dict[str, dict[str, str]] = {
         "contactless_flag": "c_custkey%2=0",
         "ecommerce_enabled": "c_custkey%3=0",
         "monthly_spend_90d_xof": "cast(round(abs(c_acctbal)*10,0) as decimal(15,2))",
-        "is_synthetic": "c_custkey%4=3",
+        "is_synthetic": _owner(CARD_KEY) + "%4=3",
     },
     "branches": {
         "branch_id": "'B'||cast(n_nationkey as string)",
@@ -147,10 +162,10 @@ COLUMN_RULES: dict[str, dict[str, str]] = {
         "branch_type": "case n_nationkey%3 when 0 then 'Flagship' when 1 then 'Regional' else 'Urban' end",
     },
     "channels": {
-        "channel_id": "a",
-        "channel_name": "b",
-        "channel_group": "c",
-        "description": "b||' channel'",
+        "channel_id": "'CH'||cast(r_regionkey as string)",
+        "channel_name": _CHANNEL_NAME,
+        "channel_group": "case r_regionkey when 0 then 'Digital' when 1 then 'Digital' when 3 then 'Partner' else 'Physical' end",
+        "description": _CHANNEL_NAME + "||' channel'",
     },
     "interactions": {
         "interaction_id": "'I'||cast(event_id as string)",
@@ -202,16 +217,6 @@ COLUMN_RULES: dict[str, dict[str, str]] = {
     },
 }
 
-# The five service channels.
-CHANNEL_ROWS = (
-    ("CH0", "Mobile App", "Digital"),
-    ("CH1", "Internet Banking", "Digital"),
-    ("CH2", "ATM", "Physical"),
-    ("CH3", "Agent / Mobile Money", "Partner"),
-    ("CH4", "Branch", "Physical"),
-)
-
-
 def _read(spark: SparkSession, source_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{source_dir}/{name}.parquet")
 
@@ -223,20 +228,12 @@ def _customer_rows(spark: SparkSession, d: str) -> DataFrame:
     return _read(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
 
 
-def _per_customer(last: str, keep: str) -> Callable[[SparkSession, str], DataFrame]:
-    def rows(spark: SparkSession, d: str) -> DataFrame:
-        return (
-            _read(spark, d, "customer")
-            .filter(keep)
-            .withColumn("i", F.explode(F.expr(f"sequence(0, cast({last} as int))")))
-        )
-
-    return rows
+def _per_customer(last: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, d: _read(spark, d, "customer").withColumn("i", F.explode(F.expr(f"sequence(0, cast({last} as int))")))
 
 
 def _transaction_rows(spark: SparkSession, d: str) -> DataFrame:
-    orders = _read(spark, d, "orders").filter("o_custkey%50<>49 and o_custkey%17<>16")
-    return _read(spark, d, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return _read(spark, d, "lineitem").join(_read(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def _branch_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -245,9 +242,8 @@ def _branch_rows(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _channel_rows(spark: SparkSession, _: str) -> DataFrame:
-    rows = ", ".join(str(row) for row in CHANNEL_ROWS)
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(a, b, c)")
+def _whole(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, d: _read(spark, d, name)
 
 
 def _filtered(name: str, keep: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -256,15 +252,15 @@ def _filtered(name: str, keep: str) -> Callable[[SparkSession, str], DataFrame]:
 
 ROW_SOURCES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customers": _customer_rows,
-    "accounts": _per_customer("c_custkey%3", "c_custkey%17<>16"),
+    "accounts": _per_customer("c_custkey%3"),
     "transactions": _transaction_rows,
-    "loans": _filtered("orders", "o_orderkey%16=3 and o_custkey%17<>16"),
-    "cards": _per_customer("c_custkey%2", "c_custkey%10>=3 and c_custkey%17<>16"),
+    "loans": _whole("orders"),
+    "cards": _per_customer("c_custkey%2"),
     "branches": _branch_rows,
-    "channels": _channel_rows,
+    "channels": _whole("region"),
     "interactions": _filtered("events", "event_type<>'error'"),
     "complaints": _filtered("events", "event_type='error'"),
-    "offers": _filtered("orders", "o_orderkey%4=1"),
+    "offers": _whole("orders"),
 }
 
 
@@ -272,11 +268,3 @@ def bank_table(spark: SparkSession, source_dir: str, table: str) -> DataFrame:
     """One of the ten bank tables; all but the reference lists carry ``is_synthetic``."""
     rules = COLUMN_RULES[table]
     return ROW_SOURCES[table](spark, source_dir).selectExpr(*[f"{rule} AS {name}" for name, rule in rules.items()])
-
-
-def bank_twins(spark: SparkSession, source_dir: str, table: str) -> tuple[DataFrame, DataFrame | None]:
-    """A bank table split into its observed and its generated rows (none for reference lists)."""
-    rows = bank_table(spark, source_dir, table)
-    if table in REFERENCE_TABLES:
-        return rows, None
-    return rows.filter(~F.col("is_synthetic")), rows.filter("is_synthetic")

@@ -14,8 +14,8 @@ _local_folder: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str | None:
     """Folder for written intermediate tables.
 
-    ``spark.checkpoint.dir`` decides. Where it is unset, a local master gets a scratch folder of its own
-    (tests) and a cluster gets None: callers then keep the lazy plan instead of writing.
+    ``spark.checkpoint.dir`` decides. Where it is unset, a local master gets one scratch folder of its own (tests);
+    a cluster gets None, and ``store`` refuses: a machine-local folder would be seen by one machine only.
     """
     configured = spark.conf.get(SETTING, None)
     if configured:
@@ -23,7 +23,9 @@ def shared_folder(spark: SparkSession) -> str | None:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         return None
-    return _local_folder.setdefault(context.applicationId, tempfile.mkdtemp(prefix="clientele-"))
+    if context.applicationId not in _local_folder:
+        _local_folder[context.applicationId] = tempfile.mkdtemp(prefix="clientele-")
+    return _local_folder[context.applicationId]
 
 
 def use_for_checkpoints(spark: SparkSession) -> None:
@@ -36,12 +38,12 @@ def use_for_checkpoints(spark: SparkSession) -> None:
 def store(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to a fresh folder and read it back, so that consumers share one computation.
 
-    The files survive the loss of executors. Without a shared folder the plan is returned as it is.
+    The files survive the loss of executors.
     """
     spark = df.sparkSession
     folder = shared_folder(spark)
     if folder is None:
-        return df
+        raise ValueError(f"store: set {SETTING} to a folder that the driver and all executors share")
     path = f"{folder.rstrip('/')}/clientele-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
