@@ -9,7 +9,8 @@ Under the first order, documents meet in the buckets of their prefix tokens. A b
 its members meet the bucket's centers one after the other, best placed member first, and only while the bucket
 still holds documents not known to be connected; a bucket is done when all its members are connected or every
 member has been a center. Whatever can link two components is compared, so no component is lost. Candidates then
-need common prefix tokens under the other orders, and what is left is verified on the whole sets.
+need common prefix tokens under the other orders, and what is left is verified on the whole sets. Texts move only
+for contents that are in a candidate pair; they are read again when a round brings pairs of new contents.
 
 Equal word sequences are one content: they take part once. Contents and shingles are known by 64-bit hashes.
 Defined results: a document without words (or NULL) has no shingles and is linked with nothing; one with fewer than
@@ -36,7 +37,7 @@ from clientele.sources.storage import store
 WIDTH = 5
 COUNTERS = 1 << 21  # of the table of token counts
 SLICES = 64  # pieces in which that table moves
-BITMAP = 1 << 23  # bits of the map of contents that meet another one
+BITMAP = 1 << 26  # bits of the map of contents to be compared: 8 MB, whatever the corpus
 CENTERS_GROW = 16  # a bucket's 1st center, then up to the 16th, the 256th, ...
 OTHER_ORDERS = (0x51ED270B35A3C1D7, 0xA24BAED4963EE407)  # tie-breaking seeds besides the first order
 CONTENT_SEED = np.uint64(0xD6E8FEB86659FD93)
@@ -233,6 +234,20 @@ def _texts(docs: DataFrame, text: str, levels: np.ndarray, met: np.ndarray) -> D
     return found.groupBy("c").agg(*[F.any_value(x).alias(x) for x in ("first2", "first3", "text")])
 
 
+def _with_texts(
+    contents: DataFrame | None, have: np.ndarray, pairs: DataFrame, docs: DataFrame, text: str, levels: np.ndarray
+) -> tuple[DataFrame, np.ndarray]:
+    """``contents`` with those of ``pairs`` added, and the map of all that are in it.
+
+    A table holds every content with a bit of its map, so tables of disjoint maps have no content in common.
+    """
+    new = _bitmap(pairs.select(F.explode(F.array("a", "b")).alias("c"))) & ~have
+    if contents is not None and not new.any():
+        return contents, have
+    texts = store(_texts(docs, text, levels, new), "ngram_contents")
+    return texts if contents is None else contents.union(texts), have | new
+
+
 def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``) of similar contents."""
     sides = pairs
@@ -281,20 +296,23 @@ def _pair(a: str, b: str) -> list[Column]:
 def content_links(docs: DataFrame, text: str, levels: np.ndarray) -> DataFrame | None:
     """(``node``, ``component``) of the contents that link with others; None if no two contents meet."""
     order = Window.partitionBy("token").orderBy("pos", "c")
-    rows = _prefixes(docs, text, levels).withColumns({
-        "rank": F.row_number().over(order), "next": F.lead("c").over(order),
+    # a content met by several tasks has equal rows, one after the other
+    once = _prefixes(docs, text, levels).withColumn("before", F.lag("c").over(order)).filter("before is null or before <> c").drop("before")
+    rows = once.withColumns({
+        "rank": F.row_number().over(order), "next": F.lead("c").over(order), "third": F.lead("c", 2).over(order),
         "best": F.first(F.struct("c", "n", "pos")).over(order),
     })
-    rows = store(rows.filter("rank > 1 or next is not null").drop("next"), "ngram_buckets")
-    met = _bitmap(rows)
-    if not met.any():
+    rows = rows.filter("rank > 1 or next is not null")
+    rows = rows.withColumn("beyond_two", F.expr("rank > 2 or (rank = 2 and next is not null) or third is not null"))
+    rows = store(rows.drop("next", "third"), "ngram_buckets")
+    if rows.isEmpty():
         return None
-    contents = store(_texts(docs, text, levels, met), "ngram_contents")
     flat = rows.select("*", *[F.col(f"best.{x}").alias(f"best_{x}") for x in ("c", "n", "pos")])
     pairs = flat.filter("rank > 1").filter(_can_link("", "best_")).select(*_pair("c", "best_c")).distinct()
     tested = store(pairs, "ngram_tested")
+    contents, have = _with_texts(None, np.zeros(BITMAP // 8 + 8192, dtype=np.uint8), tested, docs, text, levels)
     components = store(connected_components(_verified(tested, contents)), "ngram_components")
-    buckets, done = rows.select("token", "c", "n", "pos", "rank"), 1
+    buckets, done = rows.filter("beyond_two").select("token", "c", "n", "pos", "rank"), 1  # a pair's bucket is done
     while True:
         member = buckets.join(components.withColumnRenamed("node", "c"), "c", "left").withColumn(
             "component", F.coalesce("component", "c")
@@ -314,6 +332,7 @@ def content_links(docs: DataFrame, text: str, levels: np.ndarray) -> DataFrame |
         buckets = member.drop("component")
         if not pairs.isEmpty():
             tested = tested.union(pairs)
+            contents, have = _with_texts(contents, have, pairs, docs, text, levels)
             known = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
             components = store(connected_components(known.union(_verified(pairs, contents))), "ngram_components")
 
