@@ -4,7 +4,7 @@ A seed is a fixed mask over ``SPAN`` consecutive words: only the kept positions
 word at an ignored position leaves the hash as it is. Every benchmark item gives the seeds of all its positions,
 every document those of all its positions; equal hashes are hits. Around each hit the item and the document are
 aligned without gaps, and the pair counts if some window of ``WINDOW`` words that holds the seed agrees in at least
-``AGREEMENT`` percent of its words.
+``AGREEMENT`` percent of its words. Words of the item beyond either end of the document disagree.
 
 The seeds of the benchmark travel as one table of bounded size; a larger benchmark is taken in blocks of items, each
 matched against all documents. Words are compared by 64-bit hashes, A-Z lower-cased.
@@ -110,10 +110,8 @@ class Index:
             a, b = max(start, int(words.offsets[row])), min(start + len(item), int(words.offsets[row + 1]))
             same = words.hashes[a:b] == item[a - start : b - start]
             width = min(WINDOW, len(item))
-            if b - a < width:
-                continue
             sums = np.r_[0, np.cumsum(same)]
-            best = int((sums[width:] - sums[:-width]).max())
+            best = int((sums[width:] - sums[:-width]).max()) if b - a >= width else int(sums[-1])
             if 100 * best >= AGREEMENT * width:
                 yield row, i, a + int(same.argmax()) - int(words.offsets[row]), best, int(sums[-1])
 

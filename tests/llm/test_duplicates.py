@@ -187,3 +187,16 @@ def test_blocks_of_items_give_the_same_overlaps(spark, documents, monkeypatch):
 
 def test_masks_keep_both_ends_out_of_chance():
     assert all(len(m) == SPAN and m.count("1") >= 7 for m in MASKS)
+
+
+def test_a_passage_cut_by_an_end_of_the_document_counts_its_agreeing_words(spark, documents):
+    item = [f"i{k}" for k in range(20)]
+    other = [f"o{k}" for k in range(30)]
+    cases = {
+        1: item[-12:] + other, 2: other + item[:12], 3: item[4:16], 4: other + item[4:16] + other, 5: other + item[:14],
+        6: [*item[-13:-6], "x", *item[-5:], *other], 7: item[-11:] + other, 8: [*item[-12:-6], "x", *item[-5:], *other], 9: other + item[:11],
+    }
+    benchmark = spark.createDataFrame([(0, " ".join(item))], "item_id int, text string")
+    docs = documents([(i, " ".join(d)) for i, d in cases.items()])
+    assert {r.doc_id for r in find_overlaps(docs, benchmark).collect()} == {1, 2, 3, 4, 5, 6}
+    assert {r.doc_id for r in keep_clean(docs, benchmark).collect()} == {7, 8, 9}
