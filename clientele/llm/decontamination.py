@@ -10,7 +10,8 @@ The seeds of the benchmark travel as one table of bounded size; a larger benchma
 matched against all documents. Words are compared by 64-bit hashes, A-Z lower-cased.
 
 Defined results: documents and items that are NULL or empty have no words and match nothing. An item shorter than
-``SPAN`` is matched as a whole, and one of fewer than ``MIN_ITEM`` words says too little and is never matched.
+``SPAN`` has masks of its own length, of which one is free of any substitutions that the agreement allows; one of
+fewer than ``MIN_ITEM`` words says too little and is never matched.
 Repeated document rows are matched alike; an empty table on either side gives no matches.
 """
 
@@ -20,6 +21,7 @@ import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +42,15 @@ FILTER_BITS = 20
 
 
 def masks_of(length: int) -> list[tuple[int, ...]]:
-    """Kept positions of the masks for an item of ``length`` words."""
+    """Kept positions of the masks for an item of ``length`` words.
+
+    A short item is cut into blocks, two more than the words that may differ, and each mask leaves out as many blocks
+    as words may differ.
+    """
     if length < SPAN:
-        return [tuple(range(length))]
+        differ = length - -(-AGREEMENT * length // 100)
+        blocks = [range(length * k // (differ + 2), length * (k + 1) // (differ + 2)) for k in range(differ + 2)]
+        return [tuple(i for block in kept for i in block) for kept in combinations(blocks, 2)]
     return [tuple(i for i, c in enumerate(m) if c == "1") for m in MASKS]
 
 
@@ -75,16 +83,17 @@ class Index:
         words = hash_words(pa.array(texts, pa.string()))
         bounds = zip(words.offsets[:-1].tolist(), words.offsets[1:].tolist(), strict=True)
         self.items = [words.hashes[a:b] for a, b in bounds]
-        found: dict[tuple[int, ...], list[tuple[np.ndarray, int]]] = {}
+        found: dict[tuple[int, ...], list[tuple[np.ndarray, int, int]]] = {}
         for i, item in enumerate(self.items):
             if len(item) >= MIN_ITEM:
                 for mask in masks_of(len(item)):
-                    found.setdefault(mask, []).append((seeds(item, mask), i))
+                    first = mask[0]  # the words before are not needed: they may lie beyond the document
+                    found.setdefault(tuple(m - first for m in mask), []).append((seeds(item[first:], tuple(m - first for m in mask)), i, first))
         self.tables = []
         for mask, parts in found.items():
-            all_seeds = np.concatenate([s for s, _ in parts])
-            item = np.concatenate([np.full(len(s), i) for s, i in parts])
-            position = np.concatenate([np.arange(len(s)) for s, _ in parts])
+            all_seeds = np.concatenate([s for s, _, _ in parts])
+            item = np.concatenate([np.full(len(s), i) for s, i, _ in parts])
+            position = np.concatenate([first + np.arange(len(s)) for s, _, first in parts])
             order = np.argsort(all_seeds, kind="stable")
             bits = np.zeros(1 << FILTER_BITS, dtype=bool)
             bits[(all_seeds >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True

@@ -200,3 +200,21 @@ def test_a_passage_cut_by_an_end_of_the_document_counts_its_agreeing_words(spark
     docs = documents([(i, " ".join(d)) for i, d in cases.items()])
     assert {r.doc_id for r in find_overlaps(docs, benchmark).collect()} == {1, 2, 3, 4, 5, 6}
     assert {r.doc_id for r in keep_clean(docs, benchmark).collect()} == {7, 8, 9}
+
+
+def test_short_items_are_found_with_the_words_that_may_differ(spark, documents):
+    items = {n: [f"s{n}x{k}" for k in range(n)] for n in range(5, 12)}
+    rows, expected = [], set()
+    for n, item in items.items():
+        for x in range(n):
+            for y in range(x, n):
+                for z in {y, n - 1}:
+                    d = [f"o{k}" if k in (x, y, z) else w for k, w in enumerate(item)]
+                    rows.append((len(rows), " ".join(["before", *d, "after"])))
+                    if n >= 6 and 100 * (n - len({x, y, z})) >= 80 * n:
+                        expected.add((len(rows) - 1, n))
+    for at in (slice(1, None), slice(None, -1)):
+        rows.append((len(rows), " ".join(items[6][at])))
+        expected.add((len(rows) - 1, 6))
+    benchmark = spark.createDataFrame([(n, " ".join(item)) for n, item in items.items()], "item_id int, text string")
+    assert {(r.doc_id, r.item_id) for r in find_overlaps(documents(rows), benchmark).collect()} == expected
