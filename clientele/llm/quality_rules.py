@@ -27,7 +27,7 @@ from clientele.sources.storage import store
 
 SPACES = "[\\x20\\x09-\\x0D]+"
 MIN_WORDS = 50
-POSITION_BITS = 24  # of a packed window; the other 40 bits hold its hash
+POSITION_BITS = 24  # of a packed window; the other 40 bits hold its hash. Longer texts have structs instead
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MORE = ("n_lines", "n_upper", "n_exclaims", "n_digits", "n_distinct_words")
 
@@ -36,7 +36,8 @@ def text_counts(docs: DataFrame) -> DataFrame:
     """Add the counts of ``BASE`` and ``MORE`` to each document.
 
     Repeated three-word windows: packed (window hash, position) values are sorted, neighbours with equal hashes
-    are candidates, and those are compared by their words, so hash collisions change nothing.
+    are candidates, and those are compared by their words, so hash collisions change nothing. Texts of too many words
+    for a packed position have structs of hash and position.
     """
 
     def kept_length(pattern: str) -> Column:
@@ -60,8 +61,11 @@ def text_counts(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split("_text", "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]"))
     found = docs.withColumn("_text", F.coalesce(F.col("text"), F.lit("")))
     found = found.withColumns({"_words": F.array_remove(F.split("_text", SPACES), ""), "_lines": lines})
+    starts = F.sequence(F.lit(0), F.size("_words") - 3)
+    packable = F.size("_words") <= 1 << POSITION_BITS
+    pairs = F.transform(starts, lambda i: F.struct(F.xxhash64(*window(i)).alias("hash"), i.alias("at")))
     packed = F.transform(
-        F.sequence(F.lit(0), F.size("_words") - 3),
+        starts,
         lambda i: F.shiftleft(F.xxhash64(*window(i)), POSITION_BITS).bitwiseOR(i.cast("long")),
     )
     found = found.withColumns({
@@ -74,14 +78,17 @@ def text_counts(docs: DataFrame) -> DataFrame:
         "n_exclaims": kept_length("[^!]+"),
         "n_digits": kept_length("[^0-9]+"),
         "n_distinct_words": F.size(F.array_distinct("_words")).cast("long"),
-        "_packed": F.when(F.size("_words") >= 3, F.sort_array(packed)).otherwise(empty("bigint")),
+        "_packed": F.when((F.size("_words") >= 3) & packable, F.sort_array(packed)).otherwise(empty("bigint")),
+        "_pairs": F.when((F.size("_words") >= 3) & ~packable, F.sort_array(pairs)).otherwise(empty("struct<hash:bigint,at:int>")),
     })
-    candidates = F.filter("_packed", lambda x, i: same("_packed", i, bits))
-    found = found.withColumn("_candidates", candidates)
     position = (1 << POSITION_BITS) - 1
+    candidates = F.filter("_packed", lambda x, i: same("_packed", i, bits))
+    paired = F.filter("_pairs", lambda x, i: same("_pairs", i, lambda p: p["hash"]))
+    found = found.withColumn("_candidates", F.when(
+        packable, F.transform(candidates, lambda x: x.bitwiseAND(position).cast("int"))
+    ).otherwise(F.transform(paired, lambda p: p["at"])))
     spelled = F.transform("_candidates", lambda x: F.struct(
-        *[w.alias(f"w{k}") for k, w in enumerate(window(x.bitwiseAND(position).cast("int")))],
-        x.bitwiseAND(position).cast("int").alias("at"),
+        *[w.alias(f"w{k}") for k, w in enumerate(window(x))], x.alias("at"),
     ))
     found = found.withColumn("_windows", F.sort_array(spelled))
     equal = F.filter("_windows", lambda x, i: same("_windows", i, lambda w: F.struct(w["w0"], w["w1"], w["w2"])))
@@ -90,7 +97,7 @@ def text_counts(docs: DataFrame) -> DataFrame:
         F.transform("_at", lambda a, i: F.least(F.lit(3), F.coalesce(F.get("_at", i + 1) - a, F.lit(3))).cast("long")),
         F.lit(0).cast("long"), lambda total, n: total + n,
     )
-    helpers = ("_text", "_words", "_lines", "_packed", "_candidates", "_windows", "_at")
+    helpers = ("_text", "_words", "_lines", "_packed", "_pairs", "_candidates", "_windows", "_at")
     return found.withColumn("n_repeat_words", covered).drop(*helpers)
 
 

@@ -103,3 +103,11 @@ def test_shards_of_odd_rows(documents, odd_rows, with_clashes):
     check_shards(rows, shard_by_bytes(with_clashes(documents(rows)), 8).collect(), 8)
     assert shard_by_bytes(documents([])).count() == 0
     assert shard_by_bytes(documents([(None, None), (None, "a")])).count() == 2
+
+
+def test_texts_of_more_words_than_packed_positions_are_counted_right(documents, monkeypatch):
+    monkeypatch.setattr("clientele.llm.quality_rules.POSITION_BITS", 4)
+    rng = random.Random(6)
+    rows = [(n, " ".join(rng.choices("abcdefgh", k=n))) for n in [0, 2, 3, 15, 16, 17, 18, 19, 40, 200, 900]]
+    for r in text_counts(documents(rows)).collect():
+        assert r.n_repeat_words == base(r.text)[-1], r.doc_id
