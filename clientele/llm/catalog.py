@@ -17,11 +17,14 @@ from clientele.llm.line_dedup import without_repeats
 from clientele.llm.ngram_join import similar_documents
 from clientele.llm.pii_crf import BASE_KINDS, find_personal_data
 from clientele.llm.quality_rules import BASE, quality_report
+from clientele.llm.source_mix import RESULTS as MIX_COLUMNS
+from clientele.llm.source_mix import mix
 from clientele.llm.token_counts import count_tokens
 from clientele.llm.url_rules import DomainRule, judge_urls
 
 TOKEN_LIMIT = 512
 SHARDS = 8
+MIX_WEIGHTS = [5, 2, 1]
 DOMAIN_RULES = [
     DomainRule("block", "net", "/"), DomainRule("allow", "example.net", "/en/"),
     DomainRule("block", "example.com", "/de/"), DomainRule("allow", "org", "/fr/"),
@@ -97,6 +100,12 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_documents(documents(spark, folder))
 
 
+def op12_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words does a mix by source weights take of each document?"""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "source", "text")
+    return mix(docs, MIX_WEIGHTS).select("doc_id", "source", *MIX_COLUMNS, "copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii_semi_markov": op2_pii_semi_markov,
@@ -108,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_encode_decode": op8_bpe_encode_decode,
     "op9_url_rules": op9_url_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op12_source_mix": op12_source_mix,
 }
 ORACLES: dict[str, str] = {
     # patterns stand here as regular expressions of their own: those of URL_PATTERNS in order, exceptions last
