@@ -175,10 +175,9 @@ def mix(
     rank, size = _rank(F.col("_uniform"), _chance()), F.col("_size")
     one_more = (_chance() > 0) & F.exists("cuts", lambda c: (rank > c["low"]) & (rank < c["high"]) & (size <= c["limit"]))
     copies = F.when(size > 0, F.col("copies")[F.col("_level")]["whole"] + one_more.cast("long")).otherwise(0)
-    return joined.select(
-        *[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(kept)], size.alias("size"), "source_size", "target",
-        (copies * size).alias("taken"), copies.alias("copies"),
-    )
+    # in two steps: inside a lambda, a name of this select would hide the column of the input
+    decided = joined.select("_row", size.alias("size"), "source_size", "target", (copies * size).alias("taken"), copies.alias("copies"))
+    return decided.select(*[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(kept)], *RESULTS, "copies")
 
 
 def mixture(
