@@ -15,6 +15,7 @@ from clientele.llm.histogram_sort import RESULTS as SHARD_COLUMNS
 from clientele.llm.histogram_sort import shard_by_bytes
 from clientele.llm.line_dedup import without_repeats
 from clientele.llm.ngram_join import similar_documents
+from clientele.llm.phrase_mining import collocations
 from clientele.llm.pii_crf import BASE_KINDS, find_personal_data
 from clientele.llm.quality_rules import BASE, quality_report
 from clientele.llm.source_mix import RESULTS as MIX_COLUMNS
@@ -106,6 +107,11 @@ def op12_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix(docs, MIX_WEIGHTS).select("doc_id", "source", *MIX_COLUMNS, "copies")
 
 
+def op13_phrase_mining(spark: SparkSession, folder: str) -> DataFrame:
+    """Which word sequences of each language stand together far more often than their parts let expect?"""
+    return collocations(spark.read.parquet(f"{folder}/documents.parquet").select("lang", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii_semi_markov": op2_pii_semi_markov,
@@ -118,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_rules": op9_url_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op12_source_mix": op12_source_mix,
+    "op13_phrase_mining": op13_phrase_mining,
 }
 ORACLES: dict[str, str] = {
     # patterns stand here as regular expressions of their own: those of URL_PATTERNS in order, exceptions last
@@ -153,4 +160,36 @@ ORACLES: dict[str, str] = {
                     WHEN pattern IS NULL OR starts_with(pattern, '@@') THEN 'allow' ELSE 'block' END AS verdict
         FROM fits
     """,
+    "op13_phrase_mining": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        words AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS ws FROM pieces),
+        sizes AS (SELECT lang, sum(len(ws)) AS n FROM words GROUP BY lang),
+        places AS (
+            SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+            FROM words, (SELECT unnest(range(1, 5)) AS k) WHERE len(ws) >= k),
+        grams AS (
+            SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS a
+            FROM places GROUP BY ALL HAVING count(*) >= 30),
+        cuts AS (
+            SELECT lang, phrase, k, a, string_split(phrase, ' ') AS ws, unnest(range(1, k)) AS c FROM grams WHERE k > 1),
+        scores AS (
+            SELECT u.lang, u.phrase, u.k, u.a, u.c, x.a AS l, y.a AS r, (2000000::HUGEINT * u.a) // (x.a + y.a) AS score
+            FROM cuts u
+            JOIN grams x ON x.lang = u.lang AND x.phrase = array_to_string(u.ws[1:u.c], ' ')
+            JOIN grams y ON y.lang = u.lang AND y.phrase = array_to_string(u.ws[u.c + 1:], ' ')),
+        lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+        inner_parts AS (
+            SELECT lang, a AS whole, unnest(flatten(list_transform(range(2, k), lambda s:
+                list_transform(range(1, k - s + 2), lambda i: array_to_string(string_split(phrase, ' ')[i:i + s - 1], ' '))))) AS phrase
+            FROM grams WHERE k > 2),
+        longest AS (SELECT lang, phrase, max(whole) AS whole FROM inner_parts GROUP BY ALL),
+        kept AS (
+            SELECT f.* FROM lowest f LEFT JOIN longest g ON g.lang = f.lang AND g.phrase = f.phrase
+            WHERE g.whole IS NULL OR 100::HUGEINT * g.whole < 80::HUGEINT * f.a),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+    """,
 }
