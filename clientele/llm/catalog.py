@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clientele.llm.attention_lm import score_documents
 from clientele.llm.bpe import encode_digests
+from clientele.llm.conversation_trie import numbered_turns, prefix_trie, share_heads
 from clientele.llm.decontamination import find_overlaps
 from clientele.llm.histogram_sort import RESULTS as SHARD_COLUMNS
 from clientele.llm.histogram_sort import shard_by_bytes
@@ -22,6 +23,7 @@ from clientele.llm.source_mix import RESULTS as MIX_COLUMNS
 from clientele.llm.source_mix import mix
 from clientele.llm.token_counts import count_tokens
 from clientele.llm.url_rules import DomainRule, judge_urls
+from clientele.sources.storage import store
 
 TOKEN_LIMIT = 512
 SHARDS = 8
@@ -101,6 +103,12 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_documents(documents(spark, folder))
 
 
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Which prefixes do the conversations share, rebuilt with the heads of their hundreds, and what would sharing save?"""
+    turns = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return prefix_trie(share_heads(store(numbered_turns(turns), "trie_own_turns")))
+
+
 def op12_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """How many words does a mix by source weights take of each document?"""
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "source", "text")
@@ -123,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_encode_decode": op8_bpe_encode_decode,
     "op9_url_rules": op9_url_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_source_mix": op12_source_mix,
     "op13_phrase_mining": op13_phrase_mining,
 }
