@@ -370,7 +370,7 @@ def _nodes_of(part: Part, number: int, rows: dict[str, np.ndarray], chars: pa.Li
     nodes = len(at)
     own = slice(0, nodes)
     # a node hangs on the one before it in the row, the first one of a row on the prefix shared with the row before
-    p_l, p_d, p_conv = np.r_[0, l[:nodes][:-1]], depth - 1, np.r_[0, least[:nodes][:-1]]
+    p_l, p_d, p_conv = np.r_[0, l][:nodes], depth - 1, np.r_[0, least][:nodes]
     begins = np.flatnonzero((inside == 0) & (depth > 0))
     slot = np.searchsorted(hangs, at[begins])
     p_l[begins], p_conv[begins] = l[nodes + slot], least[nodes + slot]
@@ -385,9 +385,7 @@ def _nodes_of(part: Part, number: int, rows: dict[str, np.ndarray], chars: pa.Li
     digests = np.full(nodes, EMPTY_DIGEST, dtype=object)
     last_node = np.cumsum(made) - 1
     pieces, to_end = [], np.minimum.accumulate(lcp[::-1])[::-1]  # may rows of the next part belong to this node, too?
-    cuts = np.flatnonzero(np.r_[True, home[enders][1:] != home[enders][:-1]]) if len(enders) else np.zeros(0, dtype=np.int64)
-    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(enders)], strict=True):
-        run = enders[a:b]
+    for run in np.split(enders, np.flatnonzero(np.diff(home[enders])) + 1) if len(enders) else ():
         row = int(home[run[0]])
         ids = convs[run].tolist()
         e = int(run[-1])

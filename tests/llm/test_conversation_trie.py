@@ -100,10 +100,10 @@ def test_many_equal_conversations_over_many_parts(spark):
 
 
 def test_one_conversation_holds_most_rows(spark):
-    rows = [(7, i, "user", str(i % 3)) for i in range(3000)] + [(c, 0, "user", "0") for c in range(20, 60)]
+    rows = [(7, i, "user", str(i % 3)) for i in range(300)] + [(c, 0, "user", "0") for c in range(20, 60)]
     docs = spark.createDataFrame(rows, SCHEMA).repartition(6)
     numbers = sorted((r.c, r.i) for r in numbered_turns(docs).collect())
-    assert numbers == sorted([(7, i) for i in range(3000)] + [(c, 0) for c in range(20, 60)])
+    assert numbers == sorted([(7, i) for i in range(300)] + [(c, 0) for c in range(20, 60)])
     assert got(prefix_trie(share_heads(numbered_turns(docs)))) == brute(rebuilt(rows))
 
 
