@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from clientele.catalog.core import Query
 from clientele.functions.columns import round_doubles
 from clientele.operators.reports import client, engagement, home, opportunities, portfolio, retention
 from clientele.operators.reports.common import composition
+from clientele.plans.clients import ClientPages
 from clientele.plans.warehouse import Warehouse, warehouse
 
 QUERIES: dict[str, Query] = {}
@@ -88,3 +91,23 @@ over("rpt29_advisor_action")(lambda w: client.advisor_action(w.customer_360))
 over("rpt30_client_detail")(lambda w: client.client_detail(w.customer_360, w.nba, w.table("customers")))
 over("rpt31_ai_zones")(lambda w: retention.ai_zones(w.customer_360))
 over("rpt32_real_high_band")(lambda w: portfolio.real_high_band(w.customer_360))
+
+# One client, from tables laid out by client.
+ONE_CLIENT = "C00000007"
+_pages: WeakKeyDictionary[Warehouse, ClientPages] = WeakKeyDictionary()
+
+
+def _pages_of(w: Warehouse) -> ClientPages:
+    if w not in _pages:
+        _pages[w] = ClientPages(w)
+    return _pages[w]
+
+
+over("srv2_profile_clustered")(lambda w: _pages_of(w).profile(ONE_CLIENT))
+over("rpt25_one_client_products")(lambda w: _pages_of(w).product_snapshot(ONE_CLIENT))
+over("rpt26_one_client_activity")(lambda w: _pages_of(w).monthly_activity(ONE_CLIENT))
+over("rpt27_one_client_txns")(lambda w: _pages_of(w).recent_txns(ONE_CLIENT))
+over("rpt28_one_client_interactions")(lambda w: _pages_of(w).recent_interactions(ONE_CLIENT))
+over("rpt28_one_client_complaints")(lambda w: _pages_of(w).open_complaints(ONE_CLIENT))
+over("rpt29_one_client_action")(lambda w: _pages_of(w).advisor_action(ONE_CLIENT))
+over("rpt30_one_client_detail")(lambda w: _pages_of(w).detail(ONE_CLIENT))

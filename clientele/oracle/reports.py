@@ -8,7 +8,11 @@ from clientele.oracle.core import CALL_COLUMNS, OFFERS
 ORACLES: dict[str, str] = {}
 
 
+_TEXTS: dict[str, str] = {}
+
+
 def sql(name: str, text: str, **extra: str) -> None:
+    _TEXTS[name] = text
     ORACLES[name] = with_bank(text, **extra)
 
 
@@ -262,3 +266,14 @@ sql("rpt32_real_high_band", """
 SELECT customer_id, full_name, segment, solde_total_xof, risque_composite, count(*) OVER () AS nb_clients,
   CAST(sum(solde_total_xof) OVER () AS DECIMAL(25,2)) AS solde_cumule
 FROM c360 WHERE NOT is_synthetic AND segment = 'Premier' AND risk_band = 'High'""")
+
+for _one, _all in {
+    "rpt25_one_client_products": "rpt25_product_snapshot", "rpt26_one_client_activity": "rpt26_monthly_activity",
+    "rpt27_one_client_txns": "rpt27_recent_txns", "rpt28_one_client_interactions": "rpt28_recent_interactions",
+    "rpt28_one_client_complaints": "rpt28_open_complaints", "rpt29_one_client_action": "rpt29_advisor_action",
+    "rpt30_one_client_detail": "rpt30_client_detail",
+}.items():
+    sql(_one, f"SELECT * FROM ({_TEXTS[_all]}) one WHERE customer_id = 'C00000007'")
+sql("srv2_profile_clustered", """
+SELECT c.*, n.next_best_action FROM c360 c LEFT JOIN nba n ON n.customer_id = c.customer_id
+WHERE c.customer_id = 'C00000007'""")

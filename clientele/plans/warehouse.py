@@ -171,4 +171,3 @@ def warehouse(spark: SparkSession, source_dir: str) -> Warehouse:
     if key not in _open:
         _open[key] = Warehouse.from_star_schema(spark, source_dir)
     return _open[key]
-

@@ -35,15 +35,27 @@ def use_for_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
+def _fresh(df: DataFrame, name: str) -> str:
+    """A new path below the shared folder."""
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if folder is None:
+        raise ValueError(f"store: set {SETTING} to a folder that the driver and all executors share")
+    return f"{folder.rstrip('/')}/clientele-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def store(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to a fresh folder and read it back, so that consumers share one computation.
 
     The files survive the loss of executors.
     """
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        raise ValueError(f"store: set {SETTING} to a folder that the driver and all executors share")
-    path = f"{folder.rstrip('/')}/clientele-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = _fresh(df, name)
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def store_files(df: DataFrame, name: str, options: dict[str, str]) -> tuple[str, DataFrame]:
+    """As ``store``, with options of the file format; the path comes along."""
+    path = _fresh(df, name)
+    df.write.mode("errorifexists").options(**options).parquet(path)
+    return path, df.sparkSession.read.schema(df.schema).parquet(path)
