@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from clientele.catalog.core import Query
 from clientele.functions.columns import round_doubles
 from clientele.operators import ml
+from clientele.operators.logistic import gradient
 from clientele.plans.warehouse import Warehouse, warehouse
 from clientele.sources.storage import shared_folder, store
 
@@ -78,11 +79,25 @@ over("ml11_cross_validation")(lambda w: ml.cross_validate(ml.label(w.customer_36
 def _(w: Warehouse):
     """Train-set mean and deviation of every scaled input: the scaler saw the training rows only."""
     model, split = _fitted(w, "logistic")
-    scaled = model.transform(split).select("is_test", ml.vector_to_array(F.col("scaled")).alias("v"))
+    scaled = split.select("is_test", F.array(*model.scaled()).alias("v"))
     per_input = scaled.select("is_test", F.posexplode("v").alias("rang", "valeur"))
     return per_input.groupBy("is_test", "rang").agg(F.avg("valeur").alias("moyenne"), F.stddev_samp("valeur").alias("ecart_type"))
 
 
+@over("ml5_gradient")
+def _(w: Warehouse):
+    """Slope of the penalized likelihood at the fitted coefficients: 0 at the optimum."""
+    model, split = _fitted(w, "logistic")
+    return gradient(split.filter(~F.col("is_test")), model, ml.LABEL)
+
+
+@over("ml11_held_out_scores")
+def _(w: Warehouse):
+    """Each customer scored by the model of the other four folds."""
+    folded = store(ml.stratified_folds(ml.features(ml.label(w.customer_360))), "folds")
+    return ml.held_out_scores(folded, 5).select("customer_id", "fold", "score", "prediction")
+
+
 @over("ml13_comparison")
 def _(w: Warehouse):
     return ml.compare(w.customer_360)

@@ -1,7 +1,8 @@
 """Churn modelling on the gold table: label, features, split, training, evaluation, drift, comparison.
 
-Splits and folds come from seeded hashes, ranked exactly inside each label. Models are Spark ML pipelines
-whose scaler is part of the model, so a later fit can never change an earlier one.
+Splits and folds come from seeded hashes, ranked exactly inside each label. The logistic model is fitted by
+``logistic.fit``, trees are Spark ML pipelines; the scaler is part of every model, so a later fit can never change an
+earlier one.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from collections.abc import Sequence
 from functools import partial
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,8 @@ from clientele.functions.columns import count_rows, portable_hash, round_half_up
 from clientele.functions.ordered import exact_quantiles, hash_rank, known_value, prefix_sums
 from clientele.operators.eda import union_all
 from clientele.operators.features import ID
+from clientele.operators.logistic import LogisticModel
+from clientele.operators.logistic import fit as fit_logistic
 from clientele.operators.scoring import rule_score
 from clientele.sources.concurrent import run_all
 from clientele.sources.storage import store, use_for_checkpoints
@@ -31,6 +34,7 @@ FEATURES = (
     "nb_comptes", "nb_cartes", "nb_produits_total", "monthly_income_xof",
 )
 LABEL = "churn_flag"
+Model = LogisticModel | PipelineModel
 KINDS = ("logistic", "random_forest", "gbt")
 RELIABLE_ROWS, RELIABLE_POSITIVES = 200, 20
 
@@ -85,7 +89,7 @@ def stratified_folds(df: DataFrame, k: int = 5, y: str = LABEL, seed: int = RULE
 
 
 # Training ----------------------------------------------------------------------------------------
-def _balanced(df: DataFrame, kind: str) -> tuple[DataFrame, int]:
+def _balanced(df: DataFrame, kind: str) -> DataFrame:
     """Class weights: n / (2 n_class), for boosting n_negative / n_positive on the positives."""
     row = df.agg(count_rows().alias("n"), F.count_if(F.col(LABEL) == 1).alias("pos")).first()
     n, pos = row["n"], row["pos"]
@@ -95,15 +99,11 @@ def _balanced(df: DataFrame, kind: str) -> tuple[DataFrame, int]:
     else:
         heavy, light = n / (2 * max(pos, 1)), n / (2 * max(neg, 1))
     weight = F.when(F.col(LABEL) == 1, F.lit(float(heavy))).otherwise(F.lit(float(light)))
-    return df.withColumn("_weight", weight), n
+    return df.withColumn("_weight", weight)
 
 
-def _estimator(kind: str, n: int, seed: int, trees: int, rounds: int):
+def _estimator(kind: str, seed: int, trees: int, rounds: int):
     common = {"featuresCol": "scaled", "labelCol": LABEL, "weightCol": "_weight"}
-    if kind == "logistic":
-        return LogisticRegression(
-            regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False, maxIter=1000, **common
-        )
     if kind == "random_forest":
         return RandomForestClassifier(numTrees=trees, maxDepth=15, maxMemoryInMB=1024, seed=seed, **common)
     if kind == "gbt":
@@ -113,31 +113,43 @@ def _estimator(kind: str, n: int, seed: int, trees: int, rounds: int):
 
 def train(
     df: DataFrame, kind: str = "logistic", seed: int = RULES.seed, trees: int = 200, rounds: int = 100
-) -> PipelineModel:
-    """Fit assembler, scaler and classifier on rows shaped by ``features``."""
+) -> Model:
+    """Fit scaler and classifier on rows shaped by ``features``."""
     if kind not in KINDS:
         raise ValueError(f"train: unknown model kind {kind!r}")
+    if kind == "logistic":
+        return fit_logistic(store(df, "training_rows"), FEATURES, LABEL, F.array(F.lit(0)), 1)[0]
     use_for_checkpoints(df.sparkSession)
-    weighted, n = _balanced(df, kind)
+    weighted = _balanced(df, kind)
     stages = [
         VectorAssembler(inputCols=list(FEATURES), outputCol="raw"),
         StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
-        _estimator(kind, n, seed, trees, rounds),
+        _estimator(kind, seed, trees, rounds),
     ]
     return Pipeline(stages=stages).fit(weighted)
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+def _kept(df: DataFrame) -> list[str]:
+    return [c for c in (ID, LABEL, "fold", "is_test") if c in df.columns]
+
+
+def _scored(df: DataFrame, probability: Column) -> DataFrame:
+    rows = df.select(*_kept(df), probability.alias("score"))
+    return rows.withColumn("prediction", (F.col("score") > 0.5).cast("int"))
+
+
+def score(model: Model, df: DataFrame) -> DataFrame:
     """Probability of disengagement and predicted class per customer."""
+    if isinstance(model, LogisticModel):
+        return _scored(df, model.probability())
     positive = vector_to_array(F.col("probability"))[1]
-    kept = [c for c in (ID, LABEL, "fold", "is_test") if c in df.columns]
+    kept = _kept(df)
     return model.transform(df).select(*kept, positive.alias("score"), F.col("prediction").cast("int").alias("prediction"))
 
 
-def explain(model: PipelineModel, df: DataFrame) -> DataFrame:
+def explain(model: Model, df: DataFrame) -> DataFrame:
     """Coefficient (logistic) or importance (trees) of each input."""
-    classifier = model.stages[-1]
-    values = classifier.coefficients if hasattr(classifier, "coefficients") else classifier.featureImportances
+    values = model.coefficients if isinstance(model, LogisticModel) else model.stages[-1].featureImportances
     rows = [(name, float(values[i])) for i, name in enumerate(FEATURES)]
     return df.sparkSession.createDataFrame(rows, "variable string, coefficient double")
 
@@ -239,16 +251,31 @@ def cross_validate(
 ) -> DataFrame:
     """k-fold metrics: one model per fold, each with its own scaler; means to three decimals.
 
-    Up to ``parallelism`` folds are submitted at once, which fills the gaps between the many short jobs of a fit.
+    The k logistic models are fitted in the same passes. Of the tree models up to ``parallelism`` folds are submitted
+    at once, which fills the gaps between the many short jobs of a fit.
     """
     folded = store(stratified_folds(features(df), k, seed=seed), "folds")
+    if kind == "logistic":
+        return _fold_means(held_out_scores(folded, k))
 
     def predicted(fold: int) -> DataFrame:
         model = train(folded.filter(F.col("fold") != fold), kind, seed, trees, rounds)
         return score(model, folded.filter(F.col("fold") == fold))
 
     scored = run_all(folded.sparkSession, [partial(predicted, fold) for fold in range(k)], parallelism)
-    pred = store(union_all(scored), "fold_predictions")
+    return _fold_means(union_all(scored))
+
+
+def held_out_scores(folded: DataFrame, k: int) -> DataFrame:
+    """Each row scored by the model that did not see its fold."""
+    others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda m: m != F.col("fold"))
+    models = fit_logistic(folded, FEATURES, LABEL, others, k)
+    own = F.coalesce(*[F.when(F.col("fold") == m, model.probability()) for m, model in enumerate(models)])
+    return _scored(folded, own)
+
+
+def _fold_means(scored: DataFrame) -> DataFrame:
+    pred = store(scored, "fold_predictions")
     per_fold = confusion_metrics(pred, ["fold"]).join(auc(pred, ["fold"]), "fold", "left")
     means = {"auc": F.coalesce(F.col("auc"), F.lit(0.5)), **{c: F.col(c) for c in ("recall", "precision", "f1")}}
     return per_fold.agg(*[round_half_up(F.avg(v), 3).alias(n) for n, v in means.items()])
@@ -294,5 +321,11 @@ def compare(
 def train_production(c360: DataFrame, path: str, kind: str = "logistic", seed: int = RULES.seed) -> DataFrame:
     """Train on 80 %, save the model, reload it and evaluate the reloaded one on the rest."""
     split = store(stratified_split(features(label(c360)), seed=seed), "split")
-    train(split.filter(~F.col("is_test")), kind, seed).write().overwrite().save(path)
-    return evaluate(score(PipelineModel.load(path), split.filter("is_test")))
+    model = train(split.filter(~F.col("is_test")), kind, seed)
+    if isinstance(model, LogisticModel):
+        model.save(split.sparkSession, path)
+        saved: Model = LogisticModel.load(split.sparkSession, path)
+    else:
+        model.write().overwrite().save(path)
+        saved = PipelineModel.load(path)
+    return evaluate(score(saved, split.filter("is_test")))

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from clientele.oracle import core, profiles, reports
+from clientele.oracle import core, learning, profiles, reports
 
-ORACLES = {**core.ORACLES, **reports.ORACLES, **profiles.ORACLES}
+ORACLES = {**core.ORACLES, **reports.ORACLES, **profiles.ORACLES, **learning.ORACLES}

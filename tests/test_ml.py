@@ -40,7 +40,7 @@ def test_logistic_trains_scores_and_warns(labelled):
     assert pred.count() == test.count() and pred.filter("score < 0 or score > 1").isEmpty()
     assert ml.evaluate(pred).first()["avertissement"] is not None
     assert ml.explain(model, test).count() == len(ml.FEATURES)
-    scaled = model.transform(split.filter("not is_test")).select(ml.vector_to_array("scaled")[0].alias("x"))
+    scaled = split.filter("not is_test").select(model.scaled()[0].alias("x"))
     assert abs(scaled.agg(F.avg("x")).first()[0]) < 1e-9
 
 
