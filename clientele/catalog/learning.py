@@ -9,7 +9,7 @@ from clientele.functions.columns import round_doubles
 from clientele.operators import ml
 from clientele.operators.logistic import gradient
 from clientele.plans.warehouse import Warehouse, warehouse
-from clientele.sources.storage import shared_folder, store
+from clientele.sources.storage import fresh_path, store
 
 QUERIES: dict[str, Query] = {}
 
@@ -91,6 +91,19 @@ def _(w: Warehouse):
     return gradient(split.filter(~F.col("is_test")), model, ml.LABEL)
 
 
+def _node_scores(w: Warehouse, kind: str):
+    """Scores from the exported nodes beside those of the model: how far apart, and whether the class is the same."""
+    model, split = _fitted(w, kind)
+    own = ml.score(model, split).select("customer_id", F.col("score").alias("own"), F.col("prediction").alias("said"))
+    nodes = ml.node_scores(model, kind, split, fresh_path(split.sparkSession, f"models/{kind}"))
+    gap = F.abs(F.col("score") - F.col("own")).alias("ecart")
+    return nodes.join(own, "customer_id").select("customer_id", "is_test", gap, (F.col("prediction") == F.col("said")).alias("meme_classe"))
+
+
+over("ml6_node_scores")(lambda w: _node_scores(w, "random_forest"))
+over("ml7_node_scores")(lambda w: _node_scores(w, "gbt"))
+
+
 @over("ml11_held_out_scores")
 def _(w: Warehouse):
     """Each customer scored by the model of the other four folds."""
@@ -105,11 +118,7 @@ def _(w: Warehouse):
 
 @over("ml14_production_model")
 def _(w: Warehouse):
-    spark = w.customer_360.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        raise ValueError("ml14: set spark.checkpoint.dir to a shared folder for the saved model")
-    path = f"{folder.rstrip('/')}/clientele-{spark.sparkContext.applicationId}/models/churn-logistic"
+    path = fresh_path(w.customer_360.sparkSession, "models/churn-logistic")
     return ml.train_production(w.customer_360, path)
 
 

@@ -25,6 +25,7 @@ from clientele.operators.features import ID
 from clientele.operators.logistic import LogisticModel
 from clientele.operators.logistic import fit as fit_logistic
 from clientele.operators.scoring import rule_score
+from clientele.operators.trees import boosted_probability, export_nodes, forest_probability, scaled_inputs, with_forest
 from clientele.sources.concurrent import run_all
 from clientele.sources.storage import store, use_for_checkpoints
 
@@ -36,6 +37,7 @@ FEATURES = (
 LABEL = "churn_flag"
 Model = LogisticModel | PipelineModel
 KINDS = ("logistic", "random_forest", "gbt")
+DEPTH = {"random_forest": 15, "gbt": 6}
 RELIABLE_ROWS, RELIABLE_POSITIVES = 200, 20
 
 
@@ -105,9 +107,9 @@ def _balanced(df: DataFrame, kind: str) -> DataFrame:
 def _estimator(kind: str, seed: int, trees: int, rounds: int):
     common = {"featuresCol": "scaled", "labelCol": LABEL, "weightCol": "_weight"}
     if kind == "random_forest":
-        return RandomForestClassifier(numTrees=trees, maxDepth=15, maxMemoryInMB=1024, seed=seed, **common)
+        return RandomForestClassifier(numTrees=trees, maxDepth=DEPTH[kind], maxMemoryInMB=1024, seed=seed, **common)
     if kind == "gbt":
-        return GBTClassifier(maxIter=rounds, maxDepth=6, stepSize=0.3, seed=seed, **common)
+        return GBTClassifier(maxIter=rounds, maxDepth=DEPTH[kind], stepSize=0.3, seed=seed, **common)
     raise ValueError(f"train: unknown model kind {kind!r}")
 
 
@@ -147,6 +149,13 @@ def score(model: Model, df: DataFrame) -> DataFrame:
     return model.transform(df).select(*kept, positive.alias("score"), F.col("prediction").cast("int").alias("prediction"))
 
 
+def node_scores(model: PipelineModel, kind: str, df: DataFrame, path: str) -> DataFrame:
+    """Probability per customer from the table of nodes that the tree model is exported to."""
+    nodes = export_nodes(model, df.sparkSession, path)
+    walk = forest_probability if kind == "random_forest" else boosted_probability
+    return _scored(with_forest(df, nodes), walk(scaled_inputs(model, FEATURES), DEPTH[kind]))
+
+
 def explain(model: Model, df: DataFrame) -> DataFrame:
     """Coefficient (logistic) or importance (trees) of each input."""
     values = model.coefficients if isinstance(model, LogisticModel) else model.stages[-1].featureImportances

@@ -124,3 +124,7 @@ ORACLES["ml11_cross_validation"] = fitted(_folds(ML["labelled"]), _OTHERS, _FOLD
 ORACLES["ml11_held_out_scores"] = fitted(
     _folds(ML["labelled"]), _OTHERS,
     "SELECT customer_id, model AS fold, round(s, 6) AS score, CAST(s > 0.5 AS INT) AS prediction FROM everyone", everyone=_ALL_SCORES)
+#: What the exported nodes of a tree model must give: the model's own scores and classes, for every customer.
+for _name in ("ml6_node_scores", "ml7_node_scores"):
+    ORACLES[_name] = with_bank(
+        "SELECT customer_id, r <= ceil(n * CAST(0.2 AS DOUBLE)) AS is_test, 0.0::DOUBLE AS ecart, TRUE AS meme_classe FROM ranked", **ML)

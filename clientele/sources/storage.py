@@ -35,9 +35,8 @@ def use_for_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
-def _fresh(df: DataFrame, name: str) -> str:
+def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    spark = df.sparkSession
     folder = shared_folder(spark)
     if folder is None:
         raise ValueError(f"store: set {SETTING} to a folder that the driver and all executors share")
@@ -49,13 +48,13 @@ def store(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
 
     The files survive the loss of executors.
     """
-    path = _fresh(df, name)
+    path = fresh_path(df.sparkSession, name)
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def store_files(df: DataFrame, name: str, options: dict[str, str]) -> tuple[str, DataFrame]:
     """As ``store``, with options of the file format; the path comes along."""
-    path = _fresh(df, name)
+    path = fresh_path(df.sparkSession, name)
     df.write.mode("errorifexists").options(**options).parquet(path)
     return path, df.sparkSession.read.schema(df.schema).parquet(path)

@@ -50,6 +50,15 @@ def test_tree_models_cross_validate(labelled, kind):
     assert all(0 <= row[c] <= 1 for c in ("auc", "recall", "precision", "f1"))
 
 
+@pytest.mark.parametrize("kind", ["random_forest", "gbt"])
+def test_exported_nodes_score_as_the_model(labelled, tmp_path, kind):
+    model = ml.train(labelled, kind, trees=7, rounds=5)
+    own = {r.customer_id: r.score for r in ml.score(model, labelled).collect()}
+    nodes = ml.node_scores(model, kind, labelled, str(tmp_path / "trees"))
+    assert "Python" not in nodes._jdf.queryExecution().executedPlan().toString()
+    assert {r.customer_id: r.score for r in nodes.collect()} == pytest.approx(own, abs=1e-12)
+
+
 def test_unknown_model_raises(labelled):
     with pytest.raises(ValueError):
         ml.train(labelled, "perceptron")
