@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from clientele.sources.storage import store
 
+GROUP = "_group"
 HASH_RANGE_SHIFT = 48  # a 60-bit hash keeps its top 12 bits: 4096 ordered, evenly filled ranges
 
 
@@ -28,12 +29,17 @@ def _range_edges(df: DataFrame, value: str, ranges: int) -> list[float]:
     return sorted(set(edges))
 
 
-def _ranged(counts: DataFrame, value: str, ranges: int | None) -> DataFrame:
-    """Add ``_range``, the number of the ordered range each value falls into.
+def _grouped(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with its group as one struct, which is never NULL, and the key to use for it.
 
-    The counts are written once, because edges, offsets and running totals all read them.
+    Inside a struct NULL equals NULL, so windows, groupings and joins can share the same plain keys and one exchange.
     """
-    numeric = store(counts, "value_counts").withColumn("_position", F.col(value).cast("double"))
+    return (df.withColumn(GROUP, F.struct(*by)), [GROUP]) if by else (df, [])
+
+
+def _ranged(counts: DataFrame, value: str, ranges: int | None) -> DataFrame:
+    """Add ``_range``, the number of the ordered range each value falls into; ``counts`` are read several times."""
+    numeric = counts.withColumn("_position", F.col(value).cast("double"))
     edges = _range_edges(numeric, "_position", ranges or _range_count(counts))
     if not edges:
         return numeric.withColumn("_range", F.lit(0)).drop("_position")
@@ -56,13 +62,6 @@ def _range_offsets(ranged: DataFrame, totals: Sequence[str], by: Sequence[str],
     )
 
 
-def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on equal keys where NULL equals NULL: a group without a name is a group too."""
-    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
-    return left.join(renamed, same).drop(*[f"_right_{k}" for k in keys])
-
-
 def known_value(df: DataFrame, value: str) -> Column:
     """Not missing: neither NULL nor NaN."""
     present = F.col(value).isNotNull()
@@ -76,13 +75,15 @@ def prefix_sums(
     by: Sequence[str] = (),
     descending: bool = False,
     ranges: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Add ``cum_<t>`` (inclusive running total in ``value`` order) for each column of ``totals``.
 
     ``counts`` holds one row per (``by``, ``value``); ``value`` must be numeric and not NULL. Aggregating to
-    distinct values first is what makes a value shared by a third of all rows harmless.
+    distinct values first is what makes a value shared by a third of all rows harmless. The counts are written once,
+    because edges, offsets and running totals all read them, unless the caller says that they are ``stored``.
     """
-    by = list(by)
+    counts, by = _grouped(counts if stored else store(counts, "value_counts"), by)
     ranged = _ranged(counts, value, ranges)
     offsets = _range_offsets(ranged, totals, by, descending).drop(*[f"_sum_{t}" for t in totals])
     value_order = F.col(value).desc() if descending else F.col(value)
@@ -90,9 +91,9 @@ def prefix_sums(
         Window.partitionBy(*by, "_range").orderBy(value_order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     running = ranged.withColumns({f"_run_{t}": F.sum(t).over(inside) for t in totals})
-    joined = join_groups(running, offsets, [*by, "_range"])
+    joined = running.join(offsets, [*by, "_range"])
     return joined.withColumns({f"cum_{t}": F.col(f"_run_{t}") + F.col(f"_off_{t}") for t in totals}).drop(
-        "_range", *[f"_run_{t}" for t in totals], *[f"_off_{t}" for t in totals]
+        "_range", GROUP, *[f"_run_{t}" for t in totals], *[f"_off_{t}" for t in totals]
     )
 
 
@@ -101,8 +102,8 @@ def hash_rank(df: DataFrame, hash_col: str, tie: str, by: Sequence[str] = (), ra
 
     The top bits of the hash split even a single group into 4096 ordered windows.
     """
-    by = list(by)
-    ranged = df.withColumn("_range", F.shiftright(F.col(hash_col), HASH_RANGE_SHIFT).cast("int"))
+    grouped, by = _grouped(df, by)
+    ranged = grouped.withColumn("_range", F.shiftright(F.col(hash_col), HASH_RANGE_SHIFT).cast("int"))
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(*by, "_range")
@@ -112,28 +113,40 @@ def hash_rank(df: DataFrame, hash_col: str, tie: str, by: Sequence[str] = (), ra
     inside = Window.partitionBy(*by, "_range").orderBy(hash_col, tie)
     return (
         ranged.withColumn("_row", F.row_number().over(inside))
-        .transform(lambda rows: join_groups(rows, offsets, [*by, "_range"]))
+        .join(offsets, [*by, "_range"])
         .withColumn(rank_col, F.col("_row").cast("bigint") + F.col("_off"))
-        .drop("_range", "_row", "_off")
+        .drop("_range", "_row", "_off", GROUP)
     )
 
 
+def counted_values(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """(``by``, ``_v``, ``n``): how often each known value of ``value`` occurs in each group, written once.
+
+    NULL and NaN are left out. All profiles of a column can be taken from its counts.
+    """
+    counts = df.filter(known_value(df, value)).groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("n"))
+    return store(counts, "value_counts")
+
+
 def exact_quantiles(
     df: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per group (one row per ``by``; one row in all without ``by``).
 
-    Column names are the keys of ``probabilities``. NULL and NaN are ignored. Values are counted and ordered in their
-    own type; decimals beyond 2**53 stay apart, and only interpolation goes through doubles. The totals of the ordered ranges tell
-    which ranges hold the wanted ranks; only their values are ordered. Unlike ``percentile`` no task holds all
-    distinct values of a group.
+    Column names are the keys of ``probabilities``. NULL and NaN are ignored.
     """
-    by = list(by)
-    counts = (
-        df.filter(known_value(df, value))
-        .groupBy(*by, F.col(value).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return quantiles_of_counts(counted_values(df, value, by), probabilities, by)
+
+
+def quantiles_of_counts(counts: DataFrame, probabilities: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """Quantiles from ``counted_values``.
+
+    Values are counted and ordered in their own type; decimals beyond 2**53 stay apart, and only interpolation goes
+    through doubles. The totals of the ordered ranges tell which ranges hold the wanted ranks; only their values are
+    ordered. Unlike ``percentile`` no task holds all distinct values of a group.
+    """
+    names = list(by)
+    counts, by = _grouped(counts, names)
     ranged = _ranged(counts, "_v", None)
 
     def position(p: float) -> Column:
@@ -152,7 +165,7 @@ def exact_quantiles(
     inside = (
         Window.partitionBy(*by, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    cumulative = join_groups(ranged, wanted, [*by, "_range"]).withColumn("_cum", F.sum("n").over(inside) + F.col("_off_n"))
+    cumulative = ranged.join(wanted, [*by, "_range"]).withColumn("_cum", F.sum("n").over(inside) + F.col("_off_n"))
 
     def value_at(rank: Column) -> Column:
         return F.min(F.when(F.col("_cum") > rank, F.col("_v")))
@@ -167,4 +180,4 @@ def exact_quantiles(
         low, high = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
         return (low + (high - low) * (position(p) - F.floor(position(p)))).alias(name)
 
-    return found.select(*by, *[interpolated(name, p) for name, p in probabilities.items()])
+    return found.select(*[F.col(f"{GROUP}.{c}") for c in names], *[interpolated(name, p) for name, p in probabilities.items()])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.columns import MONEY_SUM, count_rows, whole_table_value
-from clientele.functions.ordered import exact_quantiles
+from clientele.functions.ordered import counted_values, quantiles_of_counts
 from clientele.operators.features import ID, as_of
 
 QUARTILES = {"q1": 0.25, "mediane": 0.5, "q3": 0.75}
@@ -43,12 +43,10 @@ def boolean_rates(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def five_numbers(df: DataFrame, by: str, column: str) -> DataFrame:
-    """Minimum, quartiles and maximum per group."""
-    quartiles = exact_quantiles(df.filter(F.col(by).isNotNull()), column, QUARTILES, [by])
-    ends = df.filter(F.col(column).isNotNull()).groupBy(by).agg(
-        F.min(F.col(column).cast("double")).alias("minimum"), F.max(F.col(column).cast("double")).alias("maximum")
-    )
-    return ends.join(quartiles, by).select(by, "minimum", "q1", "mediane", "q3", "maximum")
+    """Minimum, quartiles and maximum of the known values per group, from one count of them."""
+    counts = counted_values(df.filter(F.col(by).isNotNull()), column, [by])
+    ends = counts.groupBy(by).agg(*[f(F.col("_v").cast("double")).alias(n) for n, f in (("minimum", F.min), ("maximum", F.max))])
+    return ends.join(quantiles_of_counts(counts, QUARTILES, [by]), by).select(by, "minimum", "q1", "mediane", "q3", "maximum")
 
 
 def txn_by_channel_group(txn: DataFrame, channels: DataFrame) -> DataFrame:
@@ -64,25 +62,26 @@ def observed_recency(txn: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    """Count, mean, sample deviation, extremes and quartiles in one row."""
-    value = F.col(column).cast("double")
-    quartiles = exact_quantiles(df, column, QUARTILES)
-    spread = whole_table_value(
-        df, n=F.count(column), mean=F.avg(value), std=F.stddev_samp(value), low=F.min(value), high=F.max(value)
-    )
-    return quartiles.select(
-        spread["n"].alias("n"), spread["mean"].alias("moyenne"), spread["std"].alias("ecart_type"),
+    """Count, mean, sample deviation, extremes and quartiles of the known values in one row, from one count of them."""
+    counts = counted_values(df, column)
+    value, n = F.col("_v").cast("double"), F.col("n")
+    spread = whole_table_value(counts, n=F.coalesce(F.sum(n), F.lit(0)), mean=F.sum(value * n) / F.sum(n), low=F.min(value), high=F.max(value))
+    squares = whole_table_value(counts, s=F.sum(n * (value - spread["mean"]) * (value - spread["mean"])))
+    return quantiles_of_counts(counts, QUARTILES).select(
+        spread["n"].alias("n"), spread["mean"].alias("moyenne"),
+        F.sqrt(squares["s"] / F.nullif(spread["n"] - 1, F.lit(0))).alias("ecart_type"),
         spread["low"].alias("minimum"), "q1", "mediane", "q3", spread["high"].alias("maximum"),
     )
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Counts in equal bins between the column's extremes (last edge included); empty bins are left out."""
-    value = F.col(column).cast("double")
-    ends = whole_table_value(df, lo=F.min(value), hi=F.max(value))
+    """Counts of the known values in equal bins between the extremes (last edge included); empty bins are left out."""
+    counts = counted_values(df, column)
+    value = F.col("_v").cast("double")
+    ends = whole_table_value(counts, lo=F.min(value), hi=F.max(value))
     width = (ends["hi"] - ends["lo"]) / bins
     number = F.when(width > 0, F.least(F.floor((value - ends["lo"]) / width), F.lit(bins - 1))).otherwise(F.lit(0))
-    return df.filter(value.isNotNull()).groupBy(number.cast("bigint").alias("classe")).agg(count_rows().alias("n"))
+    return counts.groupBy(number.cast("bigint").alias("classe")).agg(F.sum("n").alias("n"))
 
 
 def negative_trend_count(trend: DataFrame) -> DataFrame:

@@ -164,16 +164,15 @@ def explain(model: Model, df: DataFrame) -> DataFrame:
 
 
 # Evaluation --------------------------------------------------------------------------------------
-def _ranked_scores(pred: DataFrame, by: Sequence[str], score_col: str) -> DataFrame:
-    counts = pred.groupBy(*by, F.col(score_col).cast("double").alias("seuil")).agg(
-        F.count_if(F.col(LABEL) == 1).alias("pos"), F.count_if(F.col(LABEL) == 0).alias("neg")
-    )
-    return prefix_sums(counts, "seuil", ["pos", "neg"], by, descending=True)
+def _score_counts(pred: DataFrame, by: Sequence[str], score_col: str) -> DataFrame:
+    """(``by``, ``seuil``, ``pos``, ``neg``): labels per distinct known score, written once; unknown scores take no part."""
+    counts = pred.filter(known_value(pred, score_col)).groupBy(*by, F.col(score_col).cast("double").alias("seuil"))
+    return store(counts.agg(F.count_if(F.col(LABEL) == 1).alias("pos"), F.count_if(F.col(LABEL) == 0).alias("neg")), "score_counts")
 
 
 def auc(pred: DataFrame, by: Sequence[str] = (), score_col: str = "score") -> DataFrame:
     """Area under the ROC curve by rank sum, ties counting half; NULL when one class is absent."""
-    ranked = _ranked_scores(pred, by, score_col)
+    ranked = prefix_sums(_score_counts(pred, by, score_col), "seuil", ["pos", "neg"], by, descending=True, stored=True)
     won = F.sum((F.col("cum_pos") - F.col("pos") / 2) * F.col("neg"))
     return ranked.groupBy(*by).agg((won / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("auc"))
 
@@ -208,8 +207,9 @@ def evaluate(pred: DataFrame, score_col: str = "score") -> DataFrame:
 
 def roc(pred: DataFrame, score_col: str = "score") -> DataFrame:
     """One ROC point per distinct threshold, highest first."""
-    ranked = _ranked_scores(pred, (), score_col)
-    size = whole_table_value(ranked, pos=F.sum("pos"), neg=F.sum("neg"))
+    counts = _score_counts(pred, (), score_col)
+    ranked = prefix_sums(counts, "seuil", ["pos", "neg"], descending=True, stored=True)
+    size = whole_table_value(counts, pos=F.sum("pos"), neg=F.sum("neg"))
     return ranked.select(
         "seuil", (F.col("cum_neg") / F.nullif(size["neg"], F.lit(0))).alias("fpr"),
         (F.col("cum_pos") / F.nullif(size["pos"], F.lit(0))).alias("tpr"),

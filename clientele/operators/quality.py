@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clientele.config import RULES
 from clientele.functions.columns import count_rows, round_half_up, whole_table_value
-from clientele.functions.ordered import exact_quantiles
+from clientele.functions.ordered import counted_values, quantiles_of_counts
 from clientele.operators.eda import union_all
 from clientele.sources.schemas import COLUMNS, FOREIGN_KEYS, KEYS
 
@@ -334,14 +334,24 @@ def dup_profile(tables: dict[str, DataFrame]) -> DataFrame:
     return union_all(parts)
 
 
+def outliers_of(columns: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Known values beyond 1.5 interquartile ranges, with exact quartiles, of all named columns at once.
+
+    The columns' values are counted together once; quartiles and outliers both come from these counts.
+    """
+    values = union_all([df.select(F.lit(name).alias("colonne"), F.col(c).alias("v")) for name, (df, c) in columns.items()])
+    counts = counted_values(values, "v", ["colonne"])
+    quartiles = quantiles_of_counts(counts, {"q1": 0.25, "q3": 0.75}, ["colonne"])
+    value, reach = F.col("_v").cast("double"), (F.col("q3") - F.col("q1")) * 1.5
+    outside = (value < F.col("q1") - reach) | (value > F.col("q3") + reach)
+    found = counts.join(quartiles, "colonne").groupBy("colonne").agg(F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("found"))
+    names = values.sparkSession.createDataFrame([(name,) for name in columns], "colonne string")
+    return names.join(found, "colonne", "left").select("colonne", F.coalesce("found", F.lit(0)).alias("nb_aberrants"))
+
+
 def iqr_outliers(df: DataFrame, column: str, label: str | None = None) -> DataFrame:
-    """Values beyond 1.5 interquartile ranges, with exact quartiles."""
-    value = F.col(column).cast("double")
-    quartiles = exact_quantiles(df, column, {"q1": 0.25, "q3": 0.75})
-    q = whole_table_value(quartiles, q1=F.max("q1"), q3=F.max("q3"))
-    reach = (q["q3"] - q["q1"]) * 1.5
-    outside = (value < q["q1"] - reach) | (value > q["q3"] + reach)
-    return df.agg(F.count_if(outside).alias("nb_aberrants")).select(F.lit(label or column).alias("colonne"), "nb_aberrants")
+    """``outliers_of`` for one column."""
+    return outliers_of({label or column: (df, column)})
 
 
 # Money columns profiled for outliers.
@@ -352,7 +362,7 @@ OUTLIER_COLUMNS = (
 
 
 def outlier_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    return union_all([iqr_outliers(tables[t], c, f"{t}.{c}") for t, c in OUTLIER_COLUMNS])
+    return outliers_of({f"{t}.{c}": (tables[t], c) for t, c in OUTLIER_COLUMNS})
 
 
 def loan_status_conflicts(loans: DataFrame, threshold: int = RULES.dpd_threshold_days) -> DataFrame:

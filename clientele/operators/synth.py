@@ -113,7 +113,7 @@ def ks_2samp(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
         .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     )
     counts = store(counts, "ks_counts")
-    running = prefix_sums(counts, "_x", ["a", "b"])
+    running = prefix_sums(counts, "_x", ["a", "b"], stored=True)
     size = whole_table_value(counts, a=F.sum("a"), b=F.sum("b"))
     distance = F.abs(F.col("cum_a") / F.nullif(size["a"], F.lit(0)) - F.col("cum_b") / F.nullif(size["b"], F.lit(0)))
     found = running.agg(F.sum("a").alias("n_a"), F.sum("b").alias("n_b"), F.max(distance).alias("statistique"))

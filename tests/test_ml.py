@@ -90,6 +90,14 @@ def test_auc_and_metrics_match_brute_force(spark):
     assert ml.best_threshold(ml.roc(pred)).first()["seuil_retenu"] == best
 
 
+def test_unknown_scores_take_no_part_in_the_curve(spark):
+    known = [(1, 0.9), (0, 0.4), (1, 0.3), (0, 0.1)]
+    pred = scored(spark, [(y, s) for y, s in known])
+    more = pred.union(spark.createDataFrame([("x", 1, float("nan"), 0), ("y", 0, None, 0)], pred.schema))
+    assert ml.auc(more).first()["auc"] == ml.auc(pred).first()["auc"] == 0.75
+    assert sorted(ml.roc(more).collect()) == sorted(ml.roc(pred).collect())
+
+
 def test_one_class_has_no_auc_and_zero_ratios(spark):
     row = ml.evaluate(scored(spark, [(0, 0.1), (0, 0.2)])).first()
     assert row["auc"] is None and (row["recall"], row["precision"], row["f1"]) == (0.0, 0.0, 0.0)

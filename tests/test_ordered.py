@@ -58,6 +58,33 @@ def test_hash_rank_is_a_dense_order_inside_each_group(spark):
         assert [r["rank"] for r in own] == list(range(1, 2501))
 
 
+def test_groups_without_a_name_are_groups(spark):
+    rows = [(None if i % 3 == 0 else f"g{i % 2}", float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    found = {r["g"]: r["m"] for r in exact_quantiles(df, "v", {"m": 0.5}, ["g"]).collect()}
+    assert found == {g: np.quantile([v for x, v in rows if x == g], 0.5) for g in (None, "g0", "g1")}
+    ranked = hash_rank(df.withColumn("h", portable_hash(1, F.col("v"))), "h", "v", ["g"]).collect()
+    assert sorted(r["rank"] for r in ranked if r["g"] is None) == list(range(1, 101))
+
+
+def exchanges(df):
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return text.count("Exchange hashpartitioning") + text.count("Exchange SinglePartition")
+
+
+def test_ranges_share_the_window_s_exchange(spark):
+    """Offsets are joined where the rows already are: by (group, range), as the windows deal them."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") % 2).alias("y"))
+        assert exchanges(hash_rank(df.withColumn("h", portable_hash(7, F.col("k"))), "h", "k", ["y"])) <= 4
+        counts = df.groupBy("k").agg(F.count("*").alias("n"))
+        assert exchanges(prefix_sums(counts, "k", ["n"])) <= 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(values=st.lists(st.floats(-1e6, 1e6, allow_nan=False), min_size=1, max_size=40))
 def test_quantiles_of_any_values(spark, values):

@@ -72,6 +72,14 @@ def test_outliers(spark):
     assert quality.iqr_outliers(df, "v").first()["nb_aberrants"] == 1
 
 
+def test_outliers_of_several_columns_leave_unknown_values_out(spark):
+    nan = float("nan")
+    a = spark.createDataFrame([(float(x),) for x in range(20)] + [(nan,), (None,), (500.0,)], "v double")
+    none = spark.createDataFrame([(None,)], "w double")
+    found = {r.colonne: r.nb_aberrants for r in quality.outliers_of({"a": (a, "v"), "none": (none, "w")}).collect()}
+    assert found == {"a": 1, "none": 0}
+
+
 def test_lineage_keeps_the_latest_row(spark, tmp_path):
     path = str(tmp_path / "lineage")
     for n in (3, 5):
