@@ -1,7 +1,8 @@
 """Benchmark decontamination by spaced seeds.
 
-A seed is a fixed mask over ``SPAN`` consecutive words: only the kept positions enter its hash, so a substituted
-word at an ignored position leaves the hash as it is. Every benchmark item gives the seeds of all its positions,
+A seed is a fixed mask over consecutive words, at most ``WINDOW`` of them: only the kept positions enter its hash, so a
+substituted word at an ignored position leaves the hash as it is. The masks are complete: whatever words of a window
+differ, as many as the agreement allows, one mask ignores them all. Every benchmark item gives the seeds of all its positions,
 every document those of all its positions; equal hashes are hits. Around each hit the item and the document are
 aligned without gaps, and the pair counts if some window of ``WINDOW`` words that holds the seed agrees in at least
 ``AGREEMENT`` percent of its words. Words of the item beyond either end of the document disagree.
@@ -10,7 +11,7 @@ The seeds of the benchmark travel as one table of bounded size; a larger benchma
 matched against all documents. Words are compared by 64-bit hashes, A-Z lower-cased.
 
 Defined results: documents and items that are NULL or empty have no words and match nothing. An item shorter than
-``SPAN`` has masks of its own length, of which one is free of any substitutions that the agreement allows; one of
+``WINDOW`` has masks of its own length; one of
 fewer than ``MIN_ITEM`` words says too little and is never matched.
 Repeated document rows are matched alike; an empty table on either side gives no matches.
 """
@@ -32,9 +33,6 @@ from pyspark.sql.types import StructField, StructType
 
 from clientele.llm.arrow import Words, hash_words, map_batches, mixed, quoted, row_slices
 
-SPAN = 12
-#: Kept positions of each mask; any two substitutions further apart than a few words leave one mask untouched.
-MASKS = ("110110100111", "111001011011", "101101110101", "111111000001", "100000111111")
 WINDOW, AGREEMENT = 15, 80
 MIN_ITEM = 6
 BLOCK_CHARACTERS = 8 << 20  # of items in one broadcast table
@@ -44,14 +42,13 @@ FILTER_BITS = 20
 def masks_of(length: int) -> list[tuple[int, ...]]:
     """Kept positions of the masks for an item of ``length`` words.
 
-    A short item is cut into blocks, two more than the words that may differ, and each mask leaves out as many blocks
-    as words may differ.
+    A window is cut into blocks, two more than the words that may differ, and each mask leaves out as many blocks as
+    words may differ: these cannot touch all of the blocks but two, so some mask is free of them.
     """
-    if length < SPAN:
-        differ = length - -(-AGREEMENT * length // 100)
-        blocks = [range(length * k // (differ + 2), length * (k + 1) // (differ + 2)) for k in range(differ + 2)]
-        return [tuple(i for block in kept for i in block) for kept in combinations(blocks, 2)]
-    return [tuple(i for i, c in enumerate(m) if c == "1") for m in MASKS]
+    window = min(length, WINDOW)
+    differ = window - -(-AGREEMENT * window // 100)
+    blocks = [range(window * k // (differ + 2), window * (k + 1) // (differ + 2)) for k in range(differ + 2)]
+    return [tuple(i for block in kept for i in block) for kept in combinations(blocks, 2)]
 
 
 def seeds(hashes: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:

@@ -2,12 +2,15 @@
 
 import random
 from collections import Counter, defaultdict
+from itertools import combinations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from clientele.llm.arrow import hash_words
 from clientele.llm.components import connected_components
-from clientele.llm.decontamination import MASKS, SPAN, find_overlaps, keep_clean
+from clientele.llm.decontamination import AGREEMENT, Index, find_overlaps, keep_clean
 from clientele.llm.line_dedup import without_repeats
 from clientele.llm.ngram_join import one_of_each, similar_documents
 
@@ -185,8 +188,20 @@ def test_blocks_of_items_give_the_same_overlaps(spark, documents, monkeypatch):
     assert keep_clean(documents(rows), benchmark.limit(0)).count() == len(rows)
 
 
-def test_masks_keep_both_ends_out_of_chance():
-    assert all(len(m) == SPAN and m.count("1") >= 7 for m in MASKS)
+@pytest.mark.parametrize("length", [6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 18])
+def test_every_choice_of_changed_words_is_found(length):
+    """As many words as the agreement allows may differ, whichever they are; one more in the best window is too many."""
+    item = [f"i{k}" for k in range(length)]
+    window = min(length, 15)
+    may_differ = window - -(-AGREEMENT * window // 100)
+    index = Index([" ".join(item)])
+    texts = []
+    for changed in combinations(range(window), may_differ):
+        texts.append("before it " + " ".join("other" if k in changed else w for k, w in enumerate(item)) + " after it")
+    found = {row for row, *_ in index.verified(hash_words(pa.array(texts)))}
+    assert found == set(range(len(texts)))
+    few = [w if k % 2 else "other" for k, w in enumerate(item)]
+    assert not list(index.verified(hash_words(pa.array([" ".join(few)]))))
 
 
 def test_a_passage_cut_by_an_end_of_the_document_counts_its_agreeing_words(spark, documents):
