@@ -83,6 +83,7 @@ def _(w: Warehouse):
 
 
 over("dq11_null_profile")(lambda w: quality.null_profile(w.sources()))
+over("dq11_null_profile_observed")(lambda w: quality.null_profile_of(w.bronze("customers").sparkSession, w.counts()))
 over("dq11_dup_profile")(lambda w: quality.dup_profile(w.sources()))
 
 
@@ -92,7 +93,17 @@ def _(w: Warehouse):
     return quality.dup_profile({t: df.unionAll(df) if t in ("loans", "transactions") else df for t, df in tables.items()})
 
 
-over("dq12_lineage")(lambda w: quality.latest_lineage(quality.lineage(w.sources(), "star_schema")).drop("updated_at"))
+
+
+@over("dq12_lineage")
+def _(w: Warehouse):
+    """Row counts that the tables gave while bronze was written."""
+    counts = {t: of["rows"] for t, of in w.counts().items()}
+    rows = quality.lineage_rows(w.bronze("customers").sparkSession, counts, "star_schema")
+    return quality.latest_lineage(rows).drop("updated_at")
+
+
+
 over("dq13_iqr_outliers")(lambda w: quality.outlier_profile(w.sources()))
 over("dq14_loan_status_conflicts")(lambda w: quality.loan_status_conflicts(w.source("loans")))
 over("dq14_worst_arrears")(lambda w: quality.worst_arrears(w.source("loans")))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,11 @@ from clientele.config import RULES
 from clientele.functions.columns import count_rows, round_half_up, whole_table_value
 from clientele.functions.ordered import counted_values, quantiles_of_counts
 from clientele.operators.eda import union_all
+from clientele.sources.concurrent import run_all
 from clientele.sources.schemas import COLUMNS, FOREIGN_KEYS, KEYS
 
+SUITE_QUERIES = 8  # of the rule suite at once
+
 
 # Validation of one table -------------------------------------------------------------------------
 @dataclass(frozen=True)
@@ -211,83 +215,65 @@ def suite_rules() -> list[Rule]:
     return rules
 
 
-def _row_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """not_null, accepted_values and expect rules of one table in one scan.
+def _row_rules(df: DataFrame, rules: list[Rule]) -> dict[str, int]:
+    """not_null, accepted_values and expect rules of one table in one scan to one row.
 
-    Rows shrink to the combinations of listed columns and failure flags, then each combination reports to
-    its rules.
+    Only a column that does hold values outside its list is read once more, to count these values.
     """
-    listed = sorted({r.column for r in rules if r.kind == "accepted_values"})
-    checks = {
-        r: (F.col(r.column).isNull() if r.kind == "not_null" else F.coalesce(_expectation(r.table, r.column), F.lit(False)))
+    outside = {r: F.col(r.column).isNotNull() & ~F.col(r.column).isin(*r.values) for r in rules if r.kind == "accepted_values"}
+    checks = outside | {
+        r: F.col(r.column).isNull() if r.kind == "not_null" else F.coalesce(_expectation(r.table, r.column), F.lit(False))
         for r in rules if r.kind != "accepted_values"
     }
-    flags = {f"_f{i}": check for i, check in enumerate(checks.values())}
-    combos = df.groupBy(
-        *[F.col(c).alias(f"_v_{c}") for c in listed], *[check.alias(n) for n, check in flags.items()]
-    ).agg(count_rows().alias("_n"))
-
-    def outcome(rule: Rule, failed: Column, value: Column) -> Column:
-        return F.struct(F.lit(rule.name).alias("regle"), failed.alias("failed"), value.alias("value"))
-
-    outcomes = [outcome(r, F.col(n), F.lit(None).cast("string")) for n, r in zip(flags, checks, strict=True)]
-    for rule in (r for r in rules if r.kind == "accepted_values"):
-        value = F.col(f"_v_{rule.column}")
-        outcomes.append(outcome(rule, value.isNotNull() & ~value.isin(*rule.values), value))
-    each = combos.select(F.explode(F.array(*outcomes)).alias("o"), "_n").filter("o.failed")
-    per_value = each.groupBy("o.regle", "o.value").agg(F.sum("_n").alias("_n"))
-    return per_value.groupBy("regle").agg(
-        F.sum(F.when(F.col("value").isNull(), F.col("_n")).otherwise(F.lit(1))).alias("violations")
-    )
+    row = df.agg(*[F.count_if(check).alias(f"f{i}") for i, check in enumerate(checks.values())]).first()
+    failed = {r: row[f"f{i}"] for i, r in enumerate(checks)}
+    listed = [r for r in outside if failed[r]]
+    return {r.name: failed[r] for r in checks} | {
+        r.name: df.filter(outside[r]).agg(F.count_distinct(r.column)).first()[0] for r in listed
+    }
 
 
-def _key_rules(df: DataFrame, key: str, rules: list[Rule]) -> DataFrame:
+def _key_rules(df: DataFrame, key: str, rules: list[Rule]) -> dict[str, int]:
     """unique and not_null of one key from the same per-key counts."""
     per_key = df.groupBy(F.col(key).alias("_key")).agg(count_rows().alias("_n"))
     counts = {
         "unique": F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)),
         "not_null": F.coalesce(F.sum(F.when(F.col("_key").isNull(), F.col("_n"))), F.lit(0)),
     }
-    wide = per_key.agg(*[counts[r.kind].alias(r.name) for r in rules])
-    return wide.unpivot([], [f"`{r.name}`" for r in rules], "regle", "violations")
+    row = per_key.agg(*[counts[r.kind].alias(r.kind) for r in rules]).first()
+    return {r.name: row[r.kind] for r in rules}
+
+
+def _reference_rule(tables: dict[str, DataFrame], rule: Rule) -> dict[str, int]:
+    parent, key = rule.parent
+    orphans = relationships(tables[rule.table], rule.column, tables[parent], key)
+    return {rule.name: orphans.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]}
 
 
 def run_suite(tables: dict[str, DataFrame], rules: Iterable[Rule] | None = None) -> DataFrame:
     """One row per rule with its number of violations.
 
     Violations are failing rows for not_null, expect and relationships; failing values for unique and
-    accepted_values.
+    accepted_values. Every table is scanned once for its row rules and once per key or reference; these small queries
+    run side by side, and each hands one row of counts to the driver.
     """
     rules = list(suite_rules() if rules is None else rules)
-    found: list[DataFrame] = []
+    spark = next(iter(tables.values())).sparkSession
+    queries: list[Callable[[], dict[str, int]]] = []
     for table in dict.fromkeys(r.table for r in rules):
-        df = tables[table]
         own = [r for r in rules if r.table == table]
         keys = {r.column for r in own if r.kind == "unique"}
         for key in sorted(keys):
-            found.append(_key_rules(df, key, [r for r in own if r.column == key and r.kind in ("unique", "not_null")]))
+            queries.append(partial(_key_rules, tables[table], key, [r for r in own if r.column == key and r.kind in ("unique", "not_null")]))
         row_rules = [
             r for r in own if r.kind in ("accepted_values", "expect") or (r.kind == "not_null" and r.column not in keys)
         ]
         if row_rules:
-            found.append(_row_rules(df, row_rules))
-        for rule in (r for r in own if r.kind == "relationships"):
-            parent, key = rule.parent
-            orphans = relationships(df, rule.column, tables[parent], key)
-            counted = orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
-            found.append(counted.select(F.lit(rule.name).alias("regle"), "violations"))
-    listed = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(r.name).alias("regle"), F.lit(r.kind).alias("type_regle"), F.lit(r.table).alias("table_name"),
-                         F.lit(r.column).alias("colonne"))
-                for r in rules
-            ]
-        )
-    )
-    spark = next(iter(tables.values())).sparkSession
-    report = spark.range(1).select(listed.alias("r")).select("r.*")
-    return report.join(union_all(found), "regle", "left").withColumn("violations", F.coalesce("violations", F.lit(0)))
+            queries.append(partial(_row_rules, tables[table], row_rules))
+        queries += [partial(_reference_rule, tables, r) for r in own if r.kind == "relationships"]
+    violations = {name: n for found in run_all(spark, queries, SUITE_QUERIES) for name, n in found.items()}
+    rows = [(r.name, r.kind, r.table, r.column, int(violations[r.name])) for r in rules]
+    return spark.createDataFrame(rows, "regle string, type_regle string, table_name string, colonne string, violations bigint")
 
 
 # Profiles ----------------------------------------------------------------------------------------
@@ -320,6 +306,13 @@ def null_profile(tables: dict[str, DataFrame]) -> DataFrame:
     return union_all(parts).orderBy(F.col("pct").desc(), "table_name", "colonne")
 
 
+def null_profile_of(spark: SparkSession, counts: dict[str, dict[str, int]]) -> DataFrame:
+    """``null_profile`` from counts taken while the tables were written: rows and missing values per column."""
+    rows = [(t, c, n, 100.0 * n / of["rows"]) for t, of in counts.items() for c, n in of.items() if c != "rows" and n > 0]
+    found = spark.createDataFrame(rows, "table_name string, colonne string, nulls bigint, pct double")
+    return found.withColumn("pct", round_half_up(F.col("pct"), 1)).orderBy(F.col("pct").desc(), "table_name", "colonne")
+
+
 def dup_profile(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows whose key already occurred, for the eight tables with own keys."""
     names = [t for t in tables if t not in ("branches", "channels")]

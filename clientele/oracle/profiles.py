@@ -125,6 +125,7 @@ sql("dq11_null_profile", "SELECT * FROM (" + union([
     f"SELECT '{t}' AS table_name, '{c}' AS colonne, count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
     f"round(100.0 * count(*) FILTER (WHERE {c} IS NULL) / count(*), 1) AS pct FROM bank_{t}"
     for t, columns in COLUMNS.items() for c in columns]) + ") q WHERE nulls > 0")
+ORACLES["dq11_null_profile_observed"] = ORACLES["dq11_null_profile"]
 _OWN = [t for t in TABLES if t not in ("branches", "channels")]
 sql("dq11_dup_profile", union([
     f"SELECT '{t}' AS table_name, '{KEYS[t]}' AS cle, count(*) - count(DISTINCT {KEYS[t]}) AS doublons FROM bank_{t}" for t in _OWN]))

@@ -12,10 +12,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property, partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.config import RULES, BusinessRules
+from clientele.functions.columns import count_rows
 from clientele.operators import features, marts, staging
 from clientele.operators.reports import opportunities
 from clientele.operators.staging import tag_real
@@ -38,6 +39,7 @@ class Warehouse:
         self._rules = rules
         self._keep = keep
         self._bronze: dict[str, DataFrame] = {}
+        self._counted: dict[str, Observation] = {}
 
     @classmethod
     def from_star_schema(cls, spark: SparkSession, source_dir: str, rules: BusinessRules = RULES) -> Warehouse:
@@ -50,15 +52,25 @@ class Warehouse:
             name = f"bronze/{table}"
             if table == "transactions":
                 by_month = rows.withColumn(MONTH, F.date_format("txn_datetime", "yyyy-MM"))
-                self._bronze[table] = self._keep(
-                    by_month.hint("rebalance", "is_synthetic", MONTH), name, ("is_synthetic", MONTH)
-                )
+                clustered = by_month.hint("rebalance", "is_synthetic", MONTH)
+                self._bronze[table] = self._keep(self._counting(clustered, table), name, ("is_synthetic", MONTH))
             elif table in REFERENCE_TABLES:
-                self._bronze[table] = self._keep(rows.withColumn("is_synthetic", F.lit(False)), name, ())
+                self._bronze[table] = self._keep(self._counting(rows.withColumn("is_synthetic", F.lit(False)), table), name, ())
             else:
-                self._bronze[table] = self._keep(rows, name, ("is_synthetic",))
+                self._bronze[table] = self._keep(self._counting(rows, table), name, ("is_synthetic",))
         return self._bronze[table]
 
+    def _counting(self, rows: DataFrame, table: str) -> DataFrame:
+        """``rows`` that count themselves and their missing values while they are written."""
+        self._counted[table] = Observation(f"bronze_{table}")
+        missing = [F.count_if(F.col(c).isNull()).alias(c) for c in COLUMNS[table] if c in rows.columns]
+        return rows.observe(self._counted[table], count_rows().alias("rows"), *missing)
+
+    def counts(self) -> dict[str, dict[str, int]]:
+        """Per table its ``rows`` and the missing values of each column, known since bronze was written."""
+        self.fill_bronze()
+        return {t: self._counted[t].get for t in TABLES}
+
     def twins(self, table: str) -> tuple[DataFrame, DataFrame | None]:
         """Observed and generated rows; the filter prunes partitions."""
         rows = self.bronze(table)
