@@ -75,12 +75,12 @@ def _(w: Warehouse) -> DataFrame:
 
 @over("int1_recency")
 def _(w: Warehouse) -> DataFrame:
-    return features.recency(w.table("customers"), w.table("transactions"))
+    return features.recency(w.table("customers"), w.table("transactions"), reference=w.as_of())
 
 
 @over("int2_txn_trend")
 def _(w: Warehouse) -> DataFrame:
-    return features.txn_trend(w.table("customers"), w.table("transactions"))
+    return features.txn_trend(w.table("customers"), w.table("transactions"), w.as_of())
 
 
 @over("int3_complaint_counts")

@@ -40,7 +40,7 @@ over("rpt9_contribution_long")(lambda w: portfolio.contribution_long(portfolio.s
 over("rpt10_high_band_list")(lambda w: portfolio.high_band_list(w.customer_360))
 over("rpt10_high_band_list_cut1")(lambda w: portfolio.high_band_list(w.customer_360, 1.0))
 over("rpt11_engagement_kpis", 4)(lambda w: engagement.engagement_kpis(w.customer_360))
-over("rpt12_latest_month_txn")(lambda w: engagement.latest_month_txn(w.monthly_transactions))
+over("rpt12_latest_month_txn")(lambda w: engagement.latest_month_txn(w.monthly_transactions, w.as_of()))
 over("rpt13_channel_rates")(
     lambda w: engagement.channel_rates(w.customer_360, w.table("transactions"), w.table("channels"))
 )
@@ -53,8 +53,8 @@ over("rpt13_weakest_channel")(
     )
 )
 over("rpt14_digital_by_segment")(lambda w: engagement.digital_by_segment(w.customer_360))
-over("rpt15_monthly_volume", 4)(lambda w: engagement.monthly_volume(w.monthly_transactions))
-over("rpt15_monthly_trend", 4)(lambda w: engagement.monthly_trend(engagement.monthly_volume(w.monthly_transactions)))
+over("rpt15_monthly_volume", 4)(lambda w: engagement.monthly_volume(w.monthly_transactions, w.as_of()))
+over("rpt15_monthly_trend", 4)(lambda w: engagement.monthly_trend(engagement.monthly_volume(w.monthly_transactions, w.as_of())))
 over("rpt16_top_txn_types", 4)(lambda w: engagement.top_txn_types(w.table("transactions")))
 over("rpt17_segment_profile")(lambda w: engagement.segment_profile(w.customer_360, w.table("interactions")))
 over("rpt18_risk_zones")(lambda w: retention.risk_zones(w.customer_360))

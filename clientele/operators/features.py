@@ -20,14 +20,23 @@ def as_of(txn: DataFrame) -> Column:
     return txn.agg(F.max("txn_datetime").alias("as_of")).scalar()
 
 
+def _reference(txn: DataFrame, known: Column | None) -> Column:
+    return as_of(txn) if known is None else known
+
+
 def _customers(cust: DataFrame) -> DataFrame:
     return cust.select(ID)
 
 
-def recency(cust: DataFrame, txn: DataFrame, sentinel: int = RULES.no_activity_recency) -> DataFrame:
-    """Calendar days since the last transaction; ``sentinel`` for customers without any."""
+def recency(
+    cust: DataFrame, txn: DataFrame, sentinel: int = RULES.no_activity_recency, reference: Column | None = None
+) -> DataFrame:
+    """Calendar days since the last transaction; ``sentinel`` for customers without any.
+
+    ``reference`` is the as-of date where it is known already; it is looked up in ``txn`` otherwise.
+    """
     last = txn.groupBy(ID).agg(F.max("txn_datetime").alias("derniere_txn_datetime"))
-    days = F.coalesce(F.datediff(as_of(txn), F.col("derniere_txn_datetime")), F.lit(sentinel))
+    days = F.coalesce(F.datediff(_reference(txn, reference), F.col("derniere_txn_datetime")), F.lit(sentinel))
     return _customers(cust).join(last, ID, "left").select(ID, "derniere_txn_datetime", days.cast("bigint").alias("recency_jours"))
 
 
@@ -56,9 +65,9 @@ def _trend_columns() -> list[Column]:
     ]
 
 
-def txn_trend(cust: DataFrame, txn: DataFrame) -> DataFrame:
+def txn_trend(cust: DataFrame, txn: DataFrame, reference: Column | None = None) -> DataFrame:
     """Activity counts of the last 30/90 days against the 30/90 days before, in one pass."""
-    counts = txn.groupBy(ID).agg(*[c.alias(n) for n, c in _window_counts(as_of(txn)).items()])
+    counts = txn.groupBy(ID).agg(*[c.alias(n) for n, c in _window_counts(_reference(txn, reference)).items()])
     return _customers(cust).join(counts, ID, "left").select(ID, *_trend_columns())
 
 
@@ -179,13 +188,13 @@ def max_dpd(cust: DataFrame, loans: DataFrame) -> DataFrame:
     return _customers(cust).join(worst, ID, "left").select(ID, F.coalesce(F.col("dpd_max"), F.lit(0)).alias("dpd_max"))
 
 
-def transaction_profile(txn: DataFrame, channels: DataFrame) -> DataFrame:
+def transaction_profile(txn: DataFrame, channels: DataFrame, reference: Column | None = None) -> DataFrame:
     """Everything the mart needs from transactions in one scan, which is reduced before it is shuffled.
 
     The scan is reduced to (customer, channel) counters; the second level works on a handful of rows per
     customer.
     """
-    reference = as_of(txn)
+    reference = _reference(txn, reference)
     counters = {"_n": count_rows(), **_window_counts(reference)}
     by_id = txn.groupBy(ID, "channel_id").agg(
         F.max("txn_datetime").alias("_last"), *[c.alias(n) for n, c in counters.items()]
@@ -203,7 +212,9 @@ def transaction_profile(txn: DataFrame, channels: DataFrame) -> DataFrame:
     )
 
 
-def customer_features(silver: dict[str, DataFrame], rules: BusinessRules = RULES) -> DataFrame:
+def customer_features(
+    silver: dict[str, DataFrame], rules: BusinessRules = RULES, reference: Column | None = None
+) -> DataFrame:
     """All features side by side: customers left-joined with five one-row-per-customer aggregates."""
     cust, txn = silver["customers"], silver["transactions"]
     accounts = silver["accounts"].groupBy(ID).agg(
@@ -217,11 +228,11 @@ def customer_features(silver: dict[str, DataFrame], rules: BusinessRules = RULES
 
     joined = cust
     for part in (
-        transaction_profile(txn, silver["channels"]), _complaint_totals(silver["complaints"]), accounts, cards, loans
+        transaction_profile(txn, silver["channels"], reference), _complaint_totals(silver["complaints"]), accounts, cards, loans
     ):
         joined = joined.join(part, ID, "left")
 
-    reference = as_of(txn)
+    reference = _reference(txn, reference)
     n_accounts, n_cards = (F.coalesce(F.col(c), F.lit(0)) for c in ("_accounts", "_cards"))
     balance = _money_or_zero("_average")
     recency_days = F.coalesce(F.datediff(reference, F.col("_last")), F.lit(rules.no_activity_recency))

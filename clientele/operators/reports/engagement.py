@@ -45,9 +45,9 @@ def _since(txn: DataFrame, start: Column) -> DataFrame:
     return rows.filter(F.col(MONTH) >= F.date_format(start, "yyyy-MM")) if MONTH in txn.columns else rows
 
 
-def latest_month_txn(txn: DataFrame) -> DataFrame:
-    """Transactions of the month holding the last one."""
-    month = F.date_trunc("month", as_of(txn)).cast("timestamp_ntz")
+def latest_month_txn(txn: DataFrame, reference: Column | None = None) -> DataFrame:
+    """Transactions of the month holding the last one, which ``reference`` tells where it is known already."""
+    month = F.date_trunc("month", as_of(txn) if reference is None else reference).cast("timestamp_ntz")
     return _since(txn, month).agg(F.max(month.cast("date")).alias("mois"), count_rows().alias("nb_txn"))
 
 
@@ -93,12 +93,12 @@ def digital_by_segment(c360: DataFrame) -> DataFrame:
     return c360.groupBy("segment").agg(score).orderBy("score_digital", "segment")
 
 
-def monthly_volume(txn: DataFrame) -> DataFrame:
+def monthly_volume(txn: DataFrame, reference: Column | None = None) -> DataFrame:
     """Volume of the last twelve months with its least-squares trend; the lowest month is marked.
 
     At most thirteen grouped rows reach the ordering window.
     """
-    start = as_of(txn) - F.expr("interval 12 months")
+    start = (as_of(txn) if reference is None else reference) - F.expr("interval 12 months")
     monthly = (
         _since(txn, start)
         .groupBy(F.date_trunc("month", F.col("txn_datetime")).cast("date").alias("mois"))

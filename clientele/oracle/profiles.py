@@ -125,6 +125,11 @@ sql("dq11_null_profile", "SELECT * FROM (" + union([
     f"SELECT '{t}' AS table_name, '{c}' AS colonne, count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
     f"round(100.0 * count(*) FILTER (WHERE {c} IS NULL) / count(*), 1) AS pct FROM bank_{t}"
     for t, columns in COLUMNS.items() for c in columns]) + ") q WHERE nulls > 0")
+sql("src6_rerun", union([
+    f"SELECT '{t}' AS table_name, FALSE AS rebuilt, count(*) AS rows_before, count(*) AS rows_after FROM bank_{t}" for t in TABLES]))
+sql("src9_refresh_job", union([
+    f"SELECT '{s}' AS step, 'ok' AS status, (SELECT count(*) + 400 FROM bank_customers WHERE NOT is_synthetic) AS published_customers"
+    for s in ("load", "enrich", "synthesize", "bronze", "gold", "checks", "model", "publish")]))
 ORACLES["dq11_null_profile_observed"] = ORACLES["dq11_null_profile"]
 _OWN = [t for t in TABLES if t not in ("branches", "channels")]
 sql("dq11_dup_profile", union([

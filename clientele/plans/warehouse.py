@@ -3,6 +3,10 @@
 * bronze: the ten tables as given, observed and generated rows in separate partitions; transactions also by
   month, clustered by ``rebalance`` so that adaptive execution sizes the files and splits a heavy month;
 * silver: views over bronze;
+* the last transaction date, row counts and missing values are observed while bronze is written, so nothing scans
+  for them again;
+* every bronze table remembers the state of its source files: ``renew`` builds again what has changed, and what
+  depends on it, and leaves the rest;
 * gold: written tables. Customer features are written before they are scored, because scoring reads them
   twice (bounds, rows).
 """
@@ -12,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property, partial
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.config import RULES, BusinessRules
@@ -20,8 +24,8 @@ from clientele.functions.columns import count_rows
 from clientele.operators import features, marts, staging
 from clientele.operators.reports import opportunities
 from clientele.operators.staging import tag_real
-from clientele.sources.storage import store
-from clientele.sources.bank_tables import bank_table
+from clientele.sources.storage import file_state, remove, store
+from clientele.sources.bank_tables import SOURCE_FILES, bank_table
 from clientele.sources.concurrent import run_all
 from clientele.sources.schemas import COLUMNS, REFERENCE_TABLES, TABLES
 
@@ -29,25 +33,67 @@ MONTH = "txn_month"
 
 TableSource = Callable[[str], DataFrame]
 Store = Callable[[DataFrame, str, tuple[str, ...]], DataFrame]
+FileState = Callable[[str], str]
+BUILT = ("accounts", "silver", "customer_features", "customer_360", "customer_segments", "nba", "offer_stats")
 
 
 class Warehouse:
     """``tables`` yields a source table, ``keep`` writes a named table and reads it back."""
 
-    def __init__(self, tables: TableSource, rules: BusinessRules = RULES, keep: Store = store):
+    def __init__(
+        self, tables: TableSource, rules: BusinessRules = RULES, keep: Store = store, state: FileState | None = None
+    ):
         self._source = tables
         self._rules = rules
-        self._keep = keep
+        self._write = keep
+        self._state = state
+        self._states: dict[str, str] = {}
+        self._kept: list[DataFrame] = []
         self._bronze: dict[str, DataFrame] = {}
         self._counted: dict[str, Observation] = {}
 
     @classmethod
     def from_star_schema(cls, spark: SparkSession, source_dir: str, rules: BusinessRules = RULES) -> Warehouse:
-        return cls(lambda table: bank_table(spark, source_dir, table), rules)
+        return cls(
+            lambda table: bank_table(spark, source_dir, table), rules,
+            state=lambda table: file_state(spark, [f"{source_dir}/{name}.parquet" for name in SOURCE_FILES[table]]),
+        )
+
+    def _keep(self, df: DataFrame, name: str, partition_by: tuple[str, ...]) -> DataFrame:
+        self._kept.append(self._write(df, name, partition_by))
+        return self._kept[-1]
+
+    def renew(self) -> list[str]:
+        """Forget the tables whose source files have changed since they were read, and all that was built from them.
+
+        Returns the names of the changed tables. They, and what depends on them, are built anew when next asked for;
+        without changes everything stays. Tables handed out before stay readable until ``close``.
+        """
+        if self._state is None:
+            return []
+        changed = [t for t, known in self._states.items() if self._state(t) != known]
+        for table in changed:
+            del self._bronze[table], self._states[table], self._counted[table]
+        if changed:
+            for name in BUILT:
+                self.__dict__.pop(name, None)
+        return changed
+
+    def close(self) -> None:
+        """Remove every table that this warehouse has written; nothing handed out can be read afterwards."""
+        for df in self._kept:
+            remove(df)
+        self._kept.clear()
+        for kept in (self._bronze, self._states, self._counted):
+            kept.clear()
+        for name in BUILT:
+            self.__dict__.pop(name, None)
 
     # bronze -----------------------------------------------------------------------------------------
     def bronze(self, table: str) -> DataFrame:
         if table not in self._bronze:
+            if self._state is not None:
+                self._states[table] = self._state(table)  # before reading: a file that comes later counts as a change
             rows = tag_real(self._source(table))
             name = f"bronze/{table}"
             if table == "transactions":
@@ -64,12 +110,19 @@ class Warehouse:
         """``rows`` that count themselves and their missing values while they are written."""
         self._counted[table] = Observation(f"bronze_{table}")
         missing = [F.count_if(F.col(c).isNull()).alias(c) for c in COLUMNS[table] if c in rows.columns]
-        return rows.observe(self._counted[table], count_rows().alias("rows"), *missing)
+        last = [F.max("txn_datetime").alias("last")] if table == "transactions" else []
+        return rows.observe(self._counted[table], count_rows().alias("rows"), *missing, *last)
 
     def counts(self) -> dict[str, dict[str, int]]:
         """Per table its ``rows`` and the missing values of each column, known since bronze was written."""
         self.fill_bronze()
-        return {t: self._counted[t].get for t in TABLES}
+        return {t: {c: n for c, n in self._counted[t].get.items() if c != "last"} for t in TABLES}
+
+    def as_of(self) -> Column:
+        """Reference date of the portfolio, known since the transactions were written."""
+        self.bronze("transactions")
+        last = self._counted["transactions"].get["last"]
+        return F.lit(None if last is None else str(last)).cast("timestamp_ntz")
 
     def twins(self, table: str) -> tuple[DataFrame, DataFrame | None]:
         """Observed and generated rows; the filter prunes partitions."""
@@ -114,7 +167,7 @@ class Warehouse:
     # gold -------------------------------------------------------------------------------------------
     @cached_property
     def customer_features(self) -> DataFrame:
-        return self._keep(features.customer_features(self.silver, self._rules), "silver/customer_features", ())
+        return self._keep(features.customer_features(self.silver, self._rules, self.as_of()), "silver/customer_features", ())
 
     @cached_property
     def customer_360(self) -> DataFrame:

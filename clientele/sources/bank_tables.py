@@ -264,6 +264,14 @@ ROW_SOURCES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+#: The given tables that each bank table is derived from.
+SOURCE_FILES: dict[str, tuple[str, ...]] = {
+    "customers": ("customer", "nation", "region"), "accounts": ("customer",), "transactions": ("lineitem", "orders"), "loans": ("orders",),
+    "cards": ("customer",), "branches": ("nation", "region"), "channels": ("region",), "interactions": ("events",),
+    "complaints": ("events",), "offers": ("orders",),
+}
+
+
 def bank_table(spark: SparkSession, source_dir: str, table: str) -> DataFrame:
     """One of the ten bank tables; all but the reference lists carry ``is_synthetic``."""
     rules = COLUMN_RULES[table]

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
 _local_folder: dict[str, str] = {}
+_written: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()  # where a stored table lies
 
 
 def shared_folder(spark: SparkSession) -> str | None:
@@ -50,7 +53,9 @@ def store(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     """
     path = fresh_path(df.sparkSession, name)
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    _written[kept] = path
+    return kept
 
 
 def store_files(df: DataFrame, name: str, options: dict[str, str]) -> tuple[str, DataFrame]:
@@ -58,3 +63,22 @@ def store_files(df: DataFrame, name: str, options: dict[str, str]) -> tuple[str,
     path = fresh_path(df.sparkSession, name)
     df.write.mode("errorifexists").options(**options).parquet(path)
     return path, df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_state(spark: SparkSession, paths: list[str]) -> str:
+    """What changes whenever a file below the paths is added, removed or written: a digest of names, sizes and times.
+
+    Only the listing is read, not the files.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path", "length", "modificationTime")
+    whole = files.agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor(F.xxhash64("path", "length", "modificationTime")))
+    return "-".join(map(str, whole.first()))
+
+
+def remove(df: DataFrame) -> None:
+    """Delete the folder that ``store`` wrote for ``df``, if it did."""
+    path = _written.pop(df, None)
+    if path is not None:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
