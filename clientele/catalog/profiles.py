@@ -97,7 +97,7 @@ def _(w: Warehouse):
 
 @over("dq12_lineage")
 def _(w: Warehouse):
-    """Row counts that the tables gave while bronze was written."""
+    """Row counts that the warehouse has taken already."""
     counts = {t: of["rows"] for t, of in w.counts().items()}
     rows = quality.lineage_rows(w.bronze("customers").sparkSession, counts, "star_schema")
     return quality.latest_lineage(rows).drop("updated_at")

@@ -307,7 +307,7 @@ def null_profile(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def null_profile_of(spark: SparkSession, counts: dict[str, dict[str, int]]) -> DataFrame:
-    """``null_profile`` from counts taken while the tables were written: rows and missing values per column."""
+    """``null_profile`` from counts taken before: rows and missing values per column."""
     rows = [(t, c, n, 100.0 * n / of["rows"]) for t, of in counts.items() for c, n in of.items() if c != "rows" and n > 0]
     found = spark.createDataFrame(rows, "table_name string, colonne string, nulls bigint, pct double")
     return found.withColumn("pct", round_half_up(F.col("pct"), 1)).orderBy(F.col("pct").desc(), "table_name", "colonne")

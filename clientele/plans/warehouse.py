@@ -3,8 +3,9 @@
 * bronze: the ten tables as given, observed and generated rows in separate partitions; transactions also by
   month, clustered by ``rebalance`` so that adaptive execution sizes the files and splits a heavy month;
 * silver: views over bronze;
-* the last transaction date, row counts and missing values are observed while bronze is written, so nothing scans
-  for them again;
+* the last transaction date, row counts and missing values are taken from bronze once, one wide aggregate a table,
+  so no query scans for them again (an ``Observation`` during the write would save that scan, but a session that has
+  one can no longer ship Spark ML models to its tasks);
 * every bronze table remembers the state of its source files: ``renew`` builds again what has changed, and what
   depends on it, and leaves the rest;
 * gold: written tables. Customer features are written before they are scored, because scoring reads them
@@ -16,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property, partial
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.config import RULES, BusinessRules
@@ -50,7 +51,7 @@ class Warehouse:
         self._states: dict[str, str] = {}
         self._kept: list[DataFrame] = []
         self._bronze: dict[str, DataFrame] = {}
-        self._counted: dict[str, Observation] = {}
+        self._counted: dict[str, dict[str, object]] = {}
 
     @classmethod
     def from_star_schema(cls, spark: SparkSession, source_dir: str, rules: BusinessRules = RULES) -> Warehouse:
@@ -73,7 +74,8 @@ class Warehouse:
             return []
         changed = [t for t, known in self._states.items() if self._state(t) != known]
         for table in changed:
-            del self._bronze[table], self._states[table], self._counted[table]
+            del self._bronze[table], self._states[table]
+            self._counted.pop(table, None)
         if changed:
             for name in BUILT:
                 self.__dict__.pop(name, None)
@@ -99,29 +101,32 @@ class Warehouse:
             if table == "transactions":
                 by_month = rows.withColumn(MONTH, F.date_format("txn_datetime", "yyyy-MM"))
                 clustered = by_month.hint("rebalance", "is_synthetic", MONTH)
-                self._bronze[table] = self._keep(self._counting(clustered, table), name, ("is_synthetic", MONTH))
+                self._bronze[table] = self._keep(clustered, name, ("is_synthetic", MONTH))
             elif table in REFERENCE_TABLES:
-                self._bronze[table] = self._keep(self._counting(rows.withColumn("is_synthetic", F.lit(False)), table), name, ())
+                self._bronze[table] = self._keep(rows.withColumn("is_synthetic", F.lit(False)), name, ())
             else:
-                self._bronze[table] = self._keep(self._counting(rows, table), name, ("is_synthetic",))
+                self._bronze[table] = self._keep(rows, name, ("is_synthetic",))
         return self._bronze[table]
 
-    def _counting(self, rows: DataFrame, table: str) -> DataFrame:
-        """``rows`` that count themselves and their missing values while they are written."""
-        self._counted[table] = Observation(f"bronze_{table}")
-        missing = [F.count_if(F.col(c).isNull()).alias(c) for c in COLUMNS[table] if c in rows.columns]
-        last = [F.max("txn_datetime").alias("last")] if table == "transactions" else []
-        return rows.observe(self._counted[table], count_rows().alias("rows"), *missing, *last)
+    def _count(self, table: str) -> dict[str, object]:
+        """Rows, missing values and, of transactions, the last date, in one row; taken once."""
+        if table not in self._counted:
+            rows = self.bronze(table)
+            missing = [F.count_if(F.col(c).isNull()).alias(c) for c in COLUMNS[table] if c in rows.columns]
+            last = [F.max("txn_datetime").alias("last")] if table == "transactions" else []
+            self._counted[table] = rows.agg(count_rows().alias("rows"), *missing, *last).first().asDict()
+        return self._counted[table]
 
     def counts(self) -> dict[str, dict[str, int]]:
-        """Per table its ``rows`` and the missing values of each column, known since bronze was written."""
+        """Per table its ``rows`` and the missing values of each column."""
         self.fill_bronze()
-        return {t: {c: n for c, n in self._counted[t].get.items() if c != "last"} for t in TABLES}
+        spark = self.bronze(TABLES[0]).sparkSession
+        found = run_all(spark, [partial(self._count, t) for t in TABLES], len(TABLES))
+        return {t: {c: n for c, n in of.items() if c != "last"} for t, of in zip(TABLES, found, strict=True)}
 
     def as_of(self) -> Column:
-        """Reference date of the portfolio, known since the transactions were written."""
-        self.bronze("transactions")
-        last = self._counted["transactions"].get["last"]
+        """Reference date of the portfolio."""
+        last = self._count("transactions")["last"]
         return F.lit(None if last is None else str(last)).cast("timestamp_ntz")
 
     def twins(self, table: str) -> tuple[DataFrame, DataFrame | None]:
