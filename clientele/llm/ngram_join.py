@@ -9,8 +9,10 @@ Under the first order, documents meet in the buckets of their prefix tokens. A b
 its members meet the bucket's centers one after the other, best placed member first, and only while the bucket
 still holds documents not known to be connected; a bucket is done when all its members are connected or every
 member has been a center. Whatever can link two components is compared, so no component is lost. Candidates then
-need common prefix tokens under the other orders, and what is left is verified on the whole sets. Texts move only
-for contents that are in a candidate pair; they are read again when a round brings pairs of new contents.
+need common prefix tokens under the other orders, one rare-first and one by a hash alone, and in each of them so many
+that the sets can still be similar. What is left is verified on the whole sets. Prefixes under the other orders move
+only for contents that are in a candidate pair, texts only for those of pairs that pass these orders; documents are
+read again when a round brings pairs of new contents.
 
 Equal word sequences are one content: they take part once. Contents and shingles are known by 64-bit hashes.
 Defined results: a document without words (or NULL) has no shingles and is linked with nothing; one with fewer than
@@ -39,7 +41,7 @@ COUNTERS = 1 << 21  # of the table of token counts
 SLICES = 64  # pieces in which that table moves
 BITMAP = 1 << 26  # bits of the map of contents to be compared: 8 MB, whatever the corpus
 CENTERS_GROW = 16  # a bucket's 1st center, then up to the 16th, the 256th, ...
-OTHER_ORDERS = (0x51ED270B35A3C1D7, 0xA24BAED4963EE407)  # tie-breaking seeds besides the first order
+OTHER_ORDERS = ((0x51ED270B35A3C1D7, True), (0xA24BAED4963EE407, False))  # seeds, and whether rare tokens come first
 CONTENT_SEED = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -84,16 +86,45 @@ def prefix_size(n: int) -> int:
     return n - (3 * n + 3) // 4 + 1
 
 
+def order_keys(tokens: np.ndarray, levels: np.ndarray | None, seed: int) -> np.ndarray:
+    """Places of tokens in a global order: rare ones first and ties by a hash, or without ``levels`` by the hash alone."""
+    place = mixed(tokens ^ np.uint64(seed))
+    if levels is None:
+        return place
+    level = levels[(tokens & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64)
+    return (level << np.uint64(56)) | (place >> np.uint64(8))
+
+
 def ranked(tokens: np.ndarray, levels: np.ndarray, seed: int, n: int) -> np.ndarray:
     """The first ``n`` tokens: rare ones first, ties by a hash."""
-    level = levels[(tokens & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64)
-    key = (level << np.uint64(56)) | (mixed(tokens ^ np.uint64(seed)) >> np.uint64(8))
+    key = order_keys(tokens, levels, seed)
     if n < len(key):
         first = np.argpartition(key, n - 1)[:n]
         return tokens[first[np.argsort(key[first])]]
     return tokens[np.argsort(key)]
 
 
+def signature(tokens: np.ndarray, levels: np.ndarray | None, seed: int) -> np.ndarray:
+    """The prefix under an order: the leading 32 bits of its tokens' places, ascending."""
+    size = prefix_size(len(tokens))
+    return (np.sort(np.partition(order_keys(tokens, levels, seed), size - 1)[:size]) >> np.uint64(32)).astype(np.uint32)
+
+
+def may_link(x: np.ndarray, nx: int, y: np.ndarray, ny: int) -> bool:
+    """Whether sets of these sizes with these signatures share a prefix token and can be similar at all.
+
+    What lies before the end of the shorter-reaching prefix is known of both sets; of the rest, at most the smaller
+    rest can be common. Equal places of different tokens only raise the bound.
+    """
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    shared = y[at] == x
+    if not shared.any():
+        return False
+    end = min(x[-1], y[-1])
+    before_x, before_y = int(np.searchsorted(x, end)), int(np.searchsorted(y, end))
+    return int(shared[:before_x].sum()) + min(nx - before_x, ny - before_y) >= required(nx, ny)
+
+
 def _profile(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """Per document its content and number of shingles; per task the slices of its table of token counts."""
     field = StructField("id", docs.schema[id_column].dataType)
@@ -216,49 +247,89 @@ def _bit_offset(value: int) -> int:
     return value - 1 if value > 0 else 0
 
 
-def _texts(docs: DataFrame, text: str, levels: np.ndarray, met: np.ndarray) -> DataFrame:
-    """(``c``, ``first2``, ``first3``, ``text``) of the contents that meet others: prefixes under the other orders."""
+def _met(c: int, bits: np.ndarray) -> bool:
+    at = _bit_offset(c % BITMAP)
+    return bool(bits[at >> 3] >> (at & 7) & 1)
+
+
+def _signatures(docs: DataFrame, text: str, levels: np.ndarray, met: np.ndarray) -> DataFrame:
+    """(``c``, ``n``, ``second``, ``third``) of the contents that meet others: signatures under the other orders."""
     broadcast = docs.sparkSession.sparkContext.broadcast((levels, met))
-    schema = StructType().add("c", "long").add("first2", "binary").add("first3", "binary").add("text", "string")
 
-    def one(c: int, tokens: np.ndarray, i: int) -> tuple | None:
+    def one(c: int, tokens: np.ndarray, _: int) -> tuple | None:
         table, bits = broadcast.value
-        at = _bit_offset(c % BITMAP)
-        if not bits[at >> 3] >> (at & 7) & 1:
+        if not _met(c, bits):
             return None
-        size = prefix_size(len(tokens))
-        short = [np.sort((ranked(tokens, table, seed, size) >> np.uint64(32)).astype(np.uint32)) for seed in OTHER_ORDERS]
-        return c, *[x.tobytes() for x in short], None
+        return c, len(tokens), *[signature(tokens, table if rare else None, seed).tobytes() for seed, rare in OTHER_ORDERS]
 
-    found = _contents(docs, text, schema, one)
-    return found.groupBy("c").agg(*[F.any_value(x).alias(x) for x in ("first2", "first3", "text")])
+    schema = StructType().add("c", "long").add("n", "integer").add("second", "binary").add("third", "binary")
+    return _contents(docs, text, schema, one).groupBy("c").agg(*[F.any_value(x).alias(x) for x in ("n", "second", "third")])
 
 
-def _with_texts(
-    contents: DataFrame | None, have: np.ndarray, pairs: DataFrame, docs: DataFrame, text: str, levels: np.ndarray
-) -> tuple[DataFrame, np.ndarray]:
-    """``contents`` with those of ``pairs`` added, and the map of all that are in it.
+def _texts(docs: DataFrame, text: str, met: np.ndarray) -> DataFrame:
+    """(``c``, ``text``) of the contents that meet others under every order."""
+    broadcast = docs.sparkSession.sparkContext.broadcast(met)
 
-    A table holds every content with a bit of its map, so tables of disjoint maps have no content in common.
-    """
-    new = _bitmap(pairs.select(F.explode(F.array("a", "b")).alias("c"))) & ~have
-    if contents is not None and not new.any():
-        return contents, have
-    texts = store(_texts(docs, text, levels, new), "ngram_contents")
-    return texts if contents is None else contents.union(texts), have | new
+    def one(c: int, tokens: np.ndarray, i: int) -> tuple | None:
+        return (c, None) if _met(c, broadcast.value) else None
+
+    found = _contents(docs, text, StructType().add("c", "long").add("text", "string"), one)
+    return found.groupBy("c").agg(F.any_value("text").alias("text"))
 
 
-def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) of similar contents."""
-    sides = pairs
+class _Gathered:
+    """A table about contents that grows with the pairs it is asked for; ``read`` takes a map of contents.
+
+    It holds every content with a bit of its map, so tables of disjoint maps have no content in common.
+    """
+
+    def __init__(self, read: Callable[[np.ndarray], DataFrame], name: str):
+        self._read, self._name = read, name
+        self._have = np.zeros(BITMAP // 8 + 8192, dtype=np.uint8)
+        self._table: DataFrame | None = None
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        """The rows of the contents of ``pairs`` (and, the first time, of few others)."""
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("c"))
+        new = _bitmap(nodes) & ~self._have
+        if self._table is not None and not new.any():
+            return self._table.join(nodes, "c", "left_semi")
+        rows = store(self._read(new), self._name)
+        self._have |= new
+        if self._table is None:
+            self._table = rows
+            return rows
+        self._table = self._table.union(rows)
+        return self._table.join(nodes, "c", "left_semi")
+
+
+def _with_both(pairs: DataFrame, contents: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """``pairs`` with the columns of both contents."""
     for side in ("b", "a"):
-        renamed = contents.select(F.col("c").alias(side), *[F.col(x).alias(f"{x}_{side}") for x in ("first2", "first3", "text")])
-        sides = sides.join(renamed, side)
+        renamed = contents.select(F.col("c").alias(side), *[F.col(x).alias(f"{x}_{side}") for x in columns])
+        pairs = pairs.join(renamed, side)
+    return pairs
+
+
+def _meeting(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The pairs (``a``, ``b``) that may link under each of the other orders."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, dtype=bool)
+            na, nb = batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist()
+            for order in ("second", "third"):
+                xs, ys = batch.column(f"{order}_a"), batch.column(f"{order}_b")
+                for i in np.flatnonzero(keep).tolist():
+                    x, y = (np.frombuffer(s[i].as_buffer(), dtype=np.uint32) for s in (xs, ys))
+                    keep[i] = may_link(x, na[i], y, nb[i])
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return _with_both(pairs, signatures, ("n", "second", "third")).mapInArrow(run, "a long, b long")
 
-    def meets(x: bytes, y: bytes) -> bool:
-        a, b = np.frombuffer(x, dtype=np.uint32), np.frombuffer(y, dtype=np.uint32)
-        at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-        return bool((b[at] == a).any())
+
+def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (``a``, ``b``) of similar contents, by their whole sets."""
 
     def sets(column: pa.Array) -> Iterator[np.ndarray]:
         for part in row_slices(column):
@@ -273,13 +344,10 @@ def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            other = [zip(*[batch.column(f"{f}_{s}").to_pylist() for s in "ab"], strict=True) for f in ("first2", "first3")]
-            keep = [meets(*p) and meets(*q) for p, q in zip(*other, strict=True)]
-            left = batch.filter(pa.array(keep, pa.bool_())).select(["a", "b", "text_a", "text_b"])
-            both = zip(sets(left.column("text_a")), sets(left.column("text_b")), strict=True)
-            yield left.select(["a", "b"]).filter(pa.array([similar(x, y) for x, y in both], pa.bool_()))
+            both = zip(sets(batch.column("text_a")), sets(batch.column("text_b")), strict=True)
+            yield batch.select(["a", "b"]).filter(pa.array([similar(x, y) for x, y in both], pa.bool_()))
 
-    return sides.mapInArrow(run, "a long, b long")
+    return _with_both(pairs, texts, ("text",)).mapInArrow(run, "a long, b long")
 
 
 def _can_link(a: str, b: str) -> Column:
@@ -310,8 +378,14 @@ def content_links(docs: DataFrame, text: str, levels: np.ndarray) -> DataFrame |
     flat = rows.select("*", *[F.col(f"best.{x}").alias(f"best_{x}") for x in ("c", "n", "pos")])
     pairs = flat.filter("rank > 1").filter(_can_link("", "best_")).select(*_pair("c", "best_c")).distinct()
     tested = store(pairs, "ngram_tested")
-    contents, have = _with_texts(None, np.zeros(BITMAP // 8 + 8192, dtype=np.uint8), tested, docs, text, levels)
-    components = store(connected_components(_verified(tested, contents)), "ngram_components")
+    signatures = _Gathered(lambda met: _signatures(docs, text, levels, met), "ngram_signatures")
+    texts = _Gathered(lambda met: _texts(docs, text, met), "ngram_texts")
+
+    def verified(candidates: DataFrame) -> DataFrame:
+        close = store(_meeting(candidates, signatures.of(candidates)), "ngram_close")
+        return _similar(close, texts.of(close))
+
+    components = store(connected_components(verified(tested)), "ngram_components")
     buckets, done = rows.filter("beyond_two").select("token", "c", "n", "pos", "rank"), 1  # a pair's bucket is done
     while True:
         member = buckets.join(components.withColumnRenamed("node", "c"), "c", "left").withColumn(
@@ -332,9 +406,8 @@ def content_links(docs: DataFrame, text: str, levels: np.ndarray) -> DataFrame |
         buckets = member.drop("component")
         if not pairs.isEmpty():
             tested = tested.union(pairs)
-            contents, have = _with_texts(contents, have, pairs, docs, text, levels)
             known = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            components = store(connected_components(known.union(_verified(pairs, contents))), "ngram_components")
+            components = store(connected_components(known.union(verified(pairs))), "ngram_components")
 
 
 def _judged(docs: DataFrame, id_column: str, text: str) -> DataFrame:

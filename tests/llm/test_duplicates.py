@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from clientele.llm.arrow import hash_words
 from clientele.llm.components import connected_components
 from clientele.llm.decontamination import AGREEMENT, Index, find_overlaps, keep_clean
 from clientele.llm.line_dedup import without_repeats
-from clientele.llm.ngram_join import one_of_each, similar_documents
+from clientele.llm.ngram_join import COUNTERS, OTHER_ORDERS, may_link, one_of_each, required, signature, similar_documents
 
 
 def line_corpus():
@@ -233,3 +234,24 @@ def test_short_items_are_found_with_the_words_that_may_differ(spark, documents):
         expected.add((len(rows) - 1, 6))
     benchmark = spark.createDataFrame([(n, " ".join(item)) for n, item in items.items()], "item_id int, text string")
     assert {(r.doc_id, r.item_id) for r in find_overlaps(documents(rows), benchmark).collect()} == expected
+
+
+def test_orders_reject_no_similar_sets():
+    rng = np.random.default_rng(5)
+    levels = rng.integers(0, 9, COUNTERS).astype(np.uint8)
+    linked = rejected = 0
+    for _ in range(3000):
+        n = int(rng.integers(1, 60))
+        shared = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        own = [rng.integers(0, 1 << 63, int(rng.integers(0, n // 2 + 1)), dtype=np.uint64) for _ in range(2)]
+        a, b = (np.unique(np.concatenate([shared, x])) for x in own)
+        common = len(np.intersect1d(a, b))
+        for seed, rare in OTHER_ORDERS:
+            x, y = (signature(s, levels if rare else None, seed) for s in (a, b))
+            passes = may_link(x, len(a), y, len(b))
+            if common >= required(len(a), len(b)):
+                linked += 1
+                assert passes
+            else:
+                rejected += not passes
+    assert linked > 500 and rejected > 100
