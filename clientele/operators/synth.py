@@ -1,7 +1,9 @@
 """Synthetic cohort: bootstrap of customers with every linked row, set-based and reproducible by seed.
 
 Draw number and source customer together identify a copy, so a customer drawn twice gets two independent
-copies of all rows. New ids derive from the new customer and the old id and are unique by construction.
+copies of all rows. New ids derive from the new customer and the old id and are unique by construction. Joins on raw
+rows split heavy customers and accounts (``spread_join``); the churned customers of a cohort are marked in the account
+map, so that its transactions are joined once.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from clientele.config import RULES
 from clientele.functions.columns import count_rows, portable_hash, whole_table_value
 from clientele.functions.ordered import hash_rank, known_value, prefix_sums
+from clientele.functions.spread import spread_join
 from clientele.operators.features import ID
 from clientele.operators.staging import tag_real
 from clientele.sources.schemas import COLUMNS, KEYS, REFERENCE_TABLES
@@ -67,22 +70,31 @@ def remap_accounts(draws: DataFrame, accounts: DataFrame) -> DataFrame:
     return _copied(joined, "accounts", {"account_id": _derived("account_id"), ID: F.col("new_customer_id")})
 
 
-def remap_by_account(df: DataFrame, mapping: DataFrame, table: str) -> DataFrame:
-    """Rows hanging on an account follow their account; rows of accounts that were not copied stay out."""
-    joined = df.join(mapping, F.col("account_id") == F.col("source_account_id"))
+def remap_by_account(
+    df: DataFrame, mapping: DataFrame, table: str, days: int = RULES.synthetic_shift_days
+) -> DataFrame:
+    """Rows hanging on an account follow their account; rows of accounts that were not copied stay out.
+
+    Where the mapping has a column ``churned``, transactions of accounts with it are moved into the past.
+    """
     key = KEYS[table]
-    return _copied(
-        joined, table,
-        {key: _derived(key), "account_id": F.col("new_account_id"), ID: F.col("new_customer_id")},
-    )
+    joined = spread_join(df, mapping, "account_id", "source_account_id", F.col(key))
+    replaced = {key: _derived(key), "account_id": F.col("new_account_id"), ID: F.col("new_customer_id")}
+    if table == "transactions" and "churned" in mapping.columns:
+        replaced["txn_datetime"] = _moved(F.col("churned"), days)
+    return _copied(joined, table, replaced)
 
 
 def remap_by_customer(df: DataFrame, draws: DataFrame, table: str) -> DataFrame:
-    joined = df.join(draws, F.col(ID) == F.col("source_customer_id"))
     key = KEYS[table]
+    joined = spread_join(df, draws, ID, "source_customer_id", F.col(key))
     return _copied(joined, table, {key: _derived(key), ID: F.col("new_customer_id")})
 
 
+def _moved(churned: Column, days: int) -> Column:
+    return F.when(churned, F.col("txn_datetime") - F.expr(f"interval {days} days")).otherwise(F.col("txn_datetime"))
+
+
 def churned_customers(cust: DataFrame, rate: float, seed: int) -> DataFrame:
     """max(1, floor(n x rate)) customers without replacement: the lowest seeded hashes."""
     wanted = whole_table_value(cust, k=F.greatest(F.lit(1), F.floor(count_rows() * F.lit(float(rate)))))["k"]
@@ -95,12 +107,10 @@ def inject_churn(
     days: int = RULES.synthetic_shift_days,
 ) -> DataFrame:
     """Move all transactions of the chosen customers into the past."""
-    chosen = churned_customers(cust, rate, seed).withColumn("_shift", F.lit(True))
-    shifted = F.when(F.col("_shift"), F.col("txn_datetime") - F.expr(f"interval {days} days")).otherwise(
-        F.col("txn_datetime")
-    )
+    chosen = churned_customers(cust, rate, seed).select(F.col(ID).alias("_churned"), F.lit(True).alias("_shift"))
+    joined = spread_join(txn, chosen, ID, "_churned", F.col("txn_id"), "left")
     columns = txn.columns
-    return txn.join(chosen, ID, "left").withColumn("txn_datetime", shifted).select(*columns)
+    return joined.withColumn("txn_datetime", _moved(F.col("_shift"), days)).select(*columns)
 
 
 def ks_2samp(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
@@ -136,13 +146,14 @@ def synthesize(
     The draws and the account map are written first: every table joins one of them.
     """
     draws = store(draw_customers(tables["customers"], n, seed), "draws")
-    mapping = store(account_map(draws, tables["accounts"]), "account_map")
-    result = {"customers": copy_customers(tables["customers"], draws), "accounts": remap_accounts(draws, tables["accounts"])}
+    copied = copy_customers(tables["customers"], draws)
+    churned = churned_customers(copied, churn_rate, seed).select(F.col(ID).alias("new_customer_id"), F.lit(True).alias("churned"))
+    mapping = store(account_map(draws, tables["accounts"]).join(churned, "new_customer_id", "left"), "account_map")
+    result = {"customers": copied, "accounts": remap_accounts(draws, tables["accounts"])}
     for table in BY_ACCOUNT:
         result[table] = remap_by_account(tables[table], mapping, table)
     for table in BY_CUSTOMER:
         result[table] = remap_by_customer(tables[table], draws, table)
-    result["transactions"] = inject_churn(result["transactions"], result["customers"], churn_rate, seed)
     for table in REFERENCE_TABLES:
         result[table] = tag_real(tables[table])
     return result

@@ -73,3 +73,41 @@ def test_ks_distance(spark):
     assert (row["n_a"], row["n_b"], row["statistique"]) == (10, 10, 0.5)
     same = synth.ks_2samp(a, a, "v").first()
     assert same["statistique"] == 0.0 and same["p_value"] == 1.0
+
+
+def test_a_customer_with_a_third_of_the_rows_is_spread(spark):
+    from clientele.functions.spread import heavy_keys, spread_join
+
+    n = 30_000
+    rows = spark.range(n).select(
+        "id", F.when(F.col("id") < n // 3, F.lit("hot")).otherwise(F.concat(F.lit("c"), F.col("id") % 5000)).alias("k")
+    ).unionAll(spark.createDataFrame([(n, None)], "id bigint, k string"))
+    other = spark.range(5000).select(F.concat(F.lit("c"), F.col("id")).alias("o"), F.lit(1).alias("v")).unionAll(
+        spark.createDataFrame([("hot", 1), ("hot", 2), ("absent", 1)], "o string, v int")
+    )
+    assert [r["k"] for r in heavy_keys(rows, "k").collect()] == ["hot"]
+    saved = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how in ("inner", "left"):
+            joined = spread_join(rows, other, "k", "o", F.col("id"), how)
+            plain = rows.join(other, F.col("k") == F.col("o"), how)
+            assert joined.columns == plain.columns
+            assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+            sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+            assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+    finally:
+        for c, value in saved.items():
+            spark.conf.set(c, value)
+    assert spread_join(rows.limit(0), other, "k", "o", F.col("id")).isEmpty()
+
+
+def test_cohort_churn_equals_moving_its_transactions(bank):
+    observed = bank.observed()
+    cohort = synth.synthesize(observed, n=40, churn_rate=0.25, seed=7)
+    draws = synth.draw_customers(observed["customers"], 40, 7)
+    plain = synth.remap_by_account(observed["transactions"], synth.account_map(draws, observed["accounts"]), "transactions")
+    moved = synth.inject_churn(plain, cohort["customers"], 0.25, 7)
+    assert cohort["transactions"].exceptAll(moved).isEmpty() and moved.exceptAll(cohort["transactions"]).isEmpty()
+    assert not moved.exceptAll(plain).isEmpty()
