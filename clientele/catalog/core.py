@@ -192,29 +192,29 @@ def _(w: Warehouse) -> DataFrame:
     return spine.join(daily, "date_day", "left")
 
 
-ALL_METRICS = ("risque_composite_moyen", "engagement_digital_moyen", "nombre_clients")
+ALL_METRICS = semantic.MEASURES
 
 
 @over("sem2_metrics_total")
 def _(w: Warehouse) -> DataFrame:
-    return semantic.metric(w.customer_360, ALL_METRICS)
+    return semantic.metric(w.metric_cube, ALL_METRICS)
 
 
 @over("sem2_metrics_by_segment_band")
 def _(w: Warehouse) -> DataFrame:
-    return semantic.metric(w.customer_360, ALL_METRICS, ["segment", "risk_band"])
+    return semantic.metric(w.metric_cube, ALL_METRICS, ["segment", "risk_band"])
 
 
 @over("sem2_metrics_by_flags")
 def _(w: Warehouse) -> DataFrame:
-    return semantic.metric(w.customer_360, ALL_METRICS, list(marts.FLAGS))
+    return semantic.metric(w.metric_cube, ALL_METRICS, list(marts.FLAGS))
 
 
 @over("sem2_metrics_by_day")
 def _(w: Warehouse) -> DataFrame:
     """Day grain, with the reference date of the data standing in for the update time."""
     stamped = w.customer_360.withColumn("updated_at", features.as_of(w.table("transactions")))
-    return semantic.metric(stamped, ALL_METRICS, ["segment"], grain="day")
+    return semantic.metric(semantic.metric_cube(stamped), ALL_METRICS, ["segment"], grain="day")
 
 
 @over("srv1_at_risk")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from clientele.config import RULES, BusinessRules
 from clientele.functions.columns import count_rows
-from clientele.operators import features, marts, staging
+from clientele.operators import features, marts, semantic, staging
 from clientele.operators.reports import opportunities
 from clientele.operators.staging import tag_real
 from clientele.sources.storage import file_state, remove, store
@@ -35,7 +35,7 @@ MONTH = "txn_month"
 TableSource = Callable[[str], DataFrame]
 Store = Callable[[DataFrame, str, tuple[str, ...]], DataFrame]
 FileState = Callable[[str], str]
-BUILT = ("accounts", "silver", "customer_features", "customer_360", "customer_segments", "nba", "offer_stats")
+BUILT = ("accounts", "silver", "customer_features", "customer_360", "customer_segments", "nba", "metric_cube", "offer_stats")
 
 
 class Warehouse:
@@ -186,6 +186,11 @@ class Warehouse:
     def nba(self) -> DataFrame:
         return self._keep(marts.next_best_action(self.customer_360), "gold/nba", ())
 
+    @cached_property
+    def metric_cube(self) -> DataFrame:
+        """Sums from which every metric over any of the dimensions is answered."""
+        return self._keep(semantic.metric_cube(self.customer_360), "gold/metric_cube", ())
+
     @cached_property
     def offer_stats(self) -> DataFrame:
         """Offer history by type: a few rows that several opportunity reports read more than once."""

@@ -47,15 +47,15 @@ def test_free_sql_is_read_only(bank, spark):
 
 
 def test_metrics(bank, spark):
-    total = semantic.metric(bank.customer_360, ["nombre_clients"], ["segment"]).agg(F.sum("nombre_clients")).first()[0]
+    total = semantic.metric(bank.metric_cube, ["nombre_clients"], ["segment"]).agg(F.sum("nombre_clients")).first()[0]
     assert total == bank.customer_360.count()
     with pytest.raises(ValueError):
-        semantic.metric(bank.customer_360, ["unknown"])
+        semantic.metric(bank.metric_cube, ["unknown"])
     with pytest.raises(ValueError):
-        semantic.metric(bank.customer_360, ["nombre_clients"], ["city"])
+        semantic.metric(bank.metric_cube, ["nombre_clients"], ["city"])
     assert semantic.time_spine(spark).count() == 1826
     stamped = bank.customer_360.withColumn("updated_at", F.lit("2024-02-29 10:00:00").cast("timestamp"))
-    days = semantic.metric(stamped, ["nombre_clients"], grain="day", spine=semantic.time_spine(spark))
+    days = semantic.metric(semantic.metric_cube(stamped), ["nombre_clients"], grain="day", spine=semantic.time_spine(spark))
     assert days.count() == 1826 and days.filter("nombre_clients is not null").count() == 1
 
 
