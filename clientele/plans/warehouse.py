@@ -35,6 +35,7 @@ MONTH = "txn_month"
 TableSource = Callable[[str], DataFrame]
 Store = Callable[[DataFrame, str, tuple[str, ...]], DataFrame]
 FileState = Callable[[str], str]
+GOLD = ("customer_360", "customer_segments", "nba")
 BUILT = ("accounts", "silver", "customer_features", "customer_360", "customer_segments", "nba", "metric_cube", "offer_stats")
 
 
@@ -197,7 +198,7 @@ class Warehouse:
         return self._keep(opportunities.offer_stats(self.table("offers")), "silver/offer_stats", ())
 
     def gold(self) -> dict[str, DataFrame]:
-        return {"customer_360": self.customer_360, "customer_segments": self.customer_segments, "nba": self.nba}
+        return {name: getattr(self, name) for name in GOLD}
 
     def source(self, table: str) -> DataFrame:
         """A source table with its contract columns only."""
