@@ -15,7 +15,7 @@ DATA = "/root/testdata/sf0.001"
 def test_stages_are_the_dealt_ones():
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality_rules", "line_dedup", "ngram_jaccard_join", "benchmark_decontamination", "bpe_encode_decode"]
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14)) and set(ORACLES) <= set(QUERIES)
 
 
 @pytest.fixture(scope="module")
