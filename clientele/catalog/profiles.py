@@ -152,20 +152,20 @@ over("eda10_correlations")(lambda w: eda.correlations(_numbers(w)))
 
 # Synthetic cohort
 def _draws(w: Warehouse):
-    return synth.draw_customers(w.observed()["customers"])
+    return synth.draw_customers(w.observed_rows("customers"))
 
 
 over("syn1_draw_customers")(_draws)
-over("syn1_copy_customers")(lambda w: synth.copy_customers(w.observed()["customers"], _draws(w)))
-over("syn2_remap_accounts")(lambda w: synth.remap_accounts(_draws(w), w.observed()["accounts"]))
+over("syn1_copy_customers")(lambda w: synth.copy_customers(w.observed_rows("customers"), _draws(w)))
+over("syn2_remap_accounts")(lambda w: synth.remap_accounts(_draws(w), w.observed_rows("accounts")))
 for _table in synth.BY_ACCOUNT:
     over(f"syn3_remap_{_table}")(
         lambda w, t=_table: synth.remap_by_account(
-            w.observed()[t], synth.account_map(_draws(w), w.observed()["accounts"]), t
+            w.observed_rows(t), synth.account_map(_draws(w), w.observed_rows("accounts")), t
         )
     )
 for _table in synth.BY_CUSTOMER:
-    over(f"syn4_remap_{_table}")(lambda w, t=_table: synth.remap_by_customer(w.observed()[t], _draws(w), t))
+    over(f"syn4_remap_{_table}")(lambda w, t=_table: synth.remap_by_customer(w.observed_rows(t), _draws(w), t))
 over("syn5_inject_churn")(
     lambda w: synth.inject_churn(w.source("transactions"), w.source("customers")).select("txn_id", "customer_id", "txn_datetime")
 )

@@ -1,12 +1,14 @@
-"""Only narrow rows of transactions move before they are written."""
+"""Only narrow rows of transactions move before they are written, and a query builds only the tables it reads."""
 
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from clientele.catalog import QUERIES
+from clientele.operators import features
 from clientele.operators.staging import tag_real
-from clientele.plans.warehouse import MONTH, Warehouse
+from clientele.plans.warehouse import MONTH, Warehouse, warehouse
 from clientele.sources.bank_tables import bank_table, transactions_by_month
 
 ORDERS = "o_orderkey long, o_custkey long"
@@ -50,3 +52,14 @@ def test_texts_are_derived_behind_the_last_exchange(spark, star):
         node = node.children().head()
     moved = [node.output().apply(i).name() for i in range(node.output().size())]
     assert "l_partkey" in moved and not {"txn_id", "counterparty_type", "city"} & set(moved)
+
+
+def test_queries_build_only_the_tables_they_read(spark, tmp_path):
+    (tmp_path / "given").symlink_to("/root/testdata/sf0.001")
+    folder = str(tmp_path / "given")
+    assert QUERIES["syn1_draw_customers"](spark, folder).count() == 400
+    w = warehouse(spark, folder)
+    assert set(w._bronze) == {"customers"}
+    w.customer_360
+    assert set(w._bronze) == set(features.TABLES)
+    w.close()
