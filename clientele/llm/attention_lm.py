@@ -6,13 +6,14 @@ that begin a word), and
 
     P(id | before) = P(class | before) * P(id | class).
 
-The first factor is one causal self-attention layer over the classes of up to ``WINDOW`` ids before; the second one
-comes from counts over all training documents. Documents are scored in windows that overlap by ``OVERLAP`` ids:
+The first factor is one causal self-attention layer over up to ``WINDOW`` ids before. An id enters it as the sum of its
+class's vector, which all ids of the class train, and one of its own, zero at first, so which id of a class came before
+counts. The second factor comes from counts over all training documents. Documents are scored in windows that overlap by ``OVERLAP`` ids:
 every window after the first scores only what lies behind its overlap, so each id is scored once.
 
 Training is data-parallel: every window of every training document belongs to one round. The windows of a round are
 dealt to the shuffle partitions, each trains a copy from the same start, and the copies' average starts the next
-round. Besides, the same pass counts all words of the training documents. Frequent counts (a fixed number) are
+round (an id's own vector: weighted by how often each copy has met the id; one that none has met stays). Besides, the same pass counts all words of the training documents. Frequent counts (a fixed number) are
 broadcast; the other words of each document meet their counts in one join.
 
 Words ``[^\\x20\\x09-\\x0D]+`` have A-Z lower-cased and are counted by 64-bit hashes. Defined results: a NULL or
@@ -25,12 +26,13 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -48,6 +50,8 @@ KNOWN_WORDS = 400_000  # of a worker's table of words already split
 COUNTED_WORDS = 1 << 21  # distinct words a task holds before it passes counts on
 
 WORD, PIECE, WINDOWS = 0, 1, 2  # kinds of gathered rows
+OWN = "own"  # name of the ids' own vectors among the weights
+MEETINGS = 16  # tasks at most in which copies are summed
 
 
 class Pieces:
@@ -122,7 +126,8 @@ def start_weights(seed: int = 7) -> dict[str, np.ndarray]:
 
 
 def flat(w: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([w[n].ravel() for n in sorted(w)])
+    """All weights but the ids' own vectors, in one row."""
+    return np.concatenate([w[n].ravel() for n in sorted(w) if n != OWN])
 
 
 def shaped(values: np.ndarray) -> dict[str, np.ndarray]:
@@ -137,9 +142,11 @@ MASK = np.where(np.tril(np.ones((WINDOW, WINDOW), dtype=bool)), 0, -1e9).astype(
 SCALE = np.float32(1 / math.sqrt(WIDTH))
 
 
-def forward(w: dict[str, np.ndarray], x_class: np.ndarray) -> dict[str, np.ndarray]:
-    """Attention over windows of classes (``[windows, WINDOW]``): everything that scoring or training needs."""
+def forward(w: dict[str, np.ndarray], x_class: np.ndarray, own: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """Attention over windows (``[windows, WINDOW]``) of rows of ``e`` and, with ``own``, each place's own vector."""
     x = w["e"][x_class] + w["p"]
+    if own is not None:
+        x += own
     q, k, v = x @ w["q"], x @ w["k"], x @ w["v"]
     a = np.matmul(q, k.transpose(0, 2, 1))
     a *= SCALE
@@ -155,7 +162,7 @@ def forward(w: dict[str, np.ndarray], x_class: np.ndarray) -> dict[str, np.ndarr
 
 
 def class_scores(w: dict[str, np.ndarray], x_class: np.ndarray, y_class: np.ndarray, scored: np.ndarray) -> np.ndarray:
-    """Natural log of P(class | before) at the scored places of some windows (``scored``: flat indexes)."""
+    """Natural log of P(class | before) at the scored places of some windows (``scored``: flat indexes); ``x_class``: rows of ``e``."""
     z = forward(w, x_class)["z"][scored]
     logits = z @ w["o"]
     logits += w["b"]
@@ -165,9 +172,9 @@ def class_scores(w: dict[str, np.ndarray], x_class: np.ndarray, y_class: np.ndar
     return chosen - np.log(logits.sum(axis=1))
 
 
-def gradients(w: dict[str, np.ndarray], x_class: np.ndarray, y_class: np.ndarray) -> dict[str, np.ndarray]:
-    """Of the mean negative log-likelihood; places with class -1 are not scored."""
-    f = forward(w, x_class)
+def gradients(w: dict[str, np.ndarray], x_class: np.ndarray, y_class: np.ndarray, own: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """Of the mean negative log-likelihood; places with class -1 are not scored. ``OWN``: of each place's own vector."""
+    f = forward(w, x_class, own)
     y = y_class.ravel()
     real = np.flatnonzero(y >= 0)
     d = f["z"] @ w["o"]
@@ -195,14 +202,22 @@ def gradients(w: dict[str, np.ndarray], x_class: np.ndarray, y_class: np.ndarray
     g["p"] = dx.sum(axis=0)
     one_hot = np.zeros((x_class.size, CLASSES + 1), dtype=w["e"].dtype)
     one_hot[np.arange(x_class.size), x_class.ravel()] = 1
-    g["e"] = one_hot.T @ dx.reshape(-1, WIDTH)
+    g[OWN] = dx.reshape(-1, WIDTH)
+    g["e"] = one_hot.T @ g[OWN]
     return g
 
 
 class Trainer:
-    """Adam over batches of windows."""
+    """Adam over batches of windows, of classes or, with ``of`` (the class of each id), of ids with their own vectors.
 
-    def __init__(self, w: dict[str, np.ndarray]) -> None:
+    An own vector moves only in steps that meet its id.
+    """
+
+    def __init__(self, w: dict[str, np.ndarray], own: np.ndarray | None = None, of: np.ndarray | None = None) -> None:
+        self.own, self.of = own, of
+        if own is not None:
+            self.own_mean, self.own_square = np.zeros_like(own), np.zeros_like(own)
+            self.met = np.zeros(len(own), dtype=np.int64)
         self.all = flat(w)
         self.w, at = {}, 0  # views of all
         for n in sorted(w):
@@ -211,15 +226,31 @@ class Trainer:
         self.mean, self.square = np.zeros_like(self.all), np.zeros_like(self.all)
         self.steps = 0
 
-    def step(self, x_class: np.ndarray, y_class: np.ndarray) -> None:
+    def step(self, x: np.ndarray, y_class: np.ndarray) -> None:
         self.steps += 1
-        g = flat(gradients(self.w, x_class, y_class))
+        if self.own is None:
+            found = gradients(self.w, x, y_class)
+        else:
+            found = gradients(self.w, self.of[x], y_class, self.own[x])
+            self._move_own(x.ravel(), found[OWN])
+        g = flat(found)
         self.mean += 0.1 * (g - self.mean)
         self.square += 0.01 * (g * g - self.square)
         m = self.mean / (1 - 0.9**self.steps)
         s = self.square / (1 - 0.99**self.steps)
         self.all -= RATE * m / (np.sqrt(s) + 1e-8)
 
+    def _move_own(self, ids: np.ndarray, each: np.ndarray) -> None:
+        order = np.argsort(ids, kind="stable")
+        met, first = np.unique(ids[order], return_index=True)
+        g = np.add.reduceat(each[order], first, axis=0)
+        mean = self.own_mean[met] * np.float32(0.9) + g * np.float32(0.1)
+        square = self.own_square[met] * np.float32(0.99) + g * g * np.float32(0.01)
+        self.own_mean[met], self.own_square[met] = mean, square
+        mean, square = mean / (1 - 0.9**self.steps), square / (1 - 0.99**self.steps)
+        self.own[met] -= RATE * mean / (np.sqrt(square) + 1e-8)
+        self.met[met] += np.diff(np.r_[first, len(ids)])
+
 
 # from documents to windows
 
@@ -351,41 +382,63 @@ def _trained(windows: DataFrame, classes: Classes) -> dict[str, np.ndarray]:
     """Rounds of local training and averaging; sums of copies meet in a number of tasks that grows as a root."""
     spark = windows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    of = spark.sparkContext.broadcast(classes.of)
+    none = len(classes.of)  # stands where no id came before
+    of = spark.sparkContext.broadcast(np.r_[classes.of, CLASSES])
     weights = start_weights()
     weights["b"] = classes.log_share.astype(np.float32)  # so it starts as good as class counts alone
     weights["o"] *= np.float32(0.2)
+    weights[OWN] = np.zeros((none + 1, WIDTH), dtype=np.float32)
+    kind = "n long, w binary, met binary, own binary"
+    names = ["n", "w", "met", "own"]
+
+    def batch_of(n: int, w: np.ndarray, met: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), *(pa.array([a.tobytes()], pa.binary()) for a in (w, met, own))], names=names)
+
+    def summed(rows: Iterable[tuple[int, bytes, bytes, bytes]]) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        n, w, met, own = 0, np.zeros(1), np.zeros(none + 1, dtype=np.int64), np.zeros((none + 1, WIDTH))
+        for m, v, k, o in rows:
+            n, w = n + m, w + np.frombuffer(v)
+            met += np.frombuffer(k, dtype=np.int64)
+            own += np.frombuffer(o).reshape(none + 1, WIDTH)
+        return n, w, met, own
+
     for number in range(ROUNDS):
-        current = flat(weights)
+        current = spark.sparkContext.broadcast((flat(weights), weights[OWN]))
 
-        def train(batches: Iterator[pa.RecordBatch], current: np.ndarray = current) -> Iterator[pa.RecordBatch]:
-            trainer, n = Trainer(shaped(current)), 0
+        def train(batches: Iterator[pa.RecordBatch], current: Broadcast = current) -> Iterator[pa.RecordBatch]:
+            values, own = current.value
+            trainer, n = Trainer(shaped(values), own.copy(), of.value), 0
             for batch in batches:
-                ids = unpacked_windows(batch.column(0), len(of.value))
+                ids = unpacked_windows(batch.column(0), none)
                 x, y = ids[:, :-1], ids[:, 1:]
-                x, y = np.where(x < 0, CLASSES, of.value[x]), np.where(y < 0, -1, of.value[y])
+                x, y = np.where(x < 0, none, x), np.where(y < 0, -1, of.value[y])
                 for a in range(0, len(ids), BATCH):
                     trainer.step(x[a : a + BATCH], y[a : a + BATCH])
                 n += len(ids)
             if n:
-                copy = flat(trainer.w).astype(np.float64) * n
-                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([copy.tobytes()], pa.binary())], names=["n", "w"])
+                yield batch_of(n, flat(trainer.w).astype(np.float64) * n, trainer.met, trainer.own.astype(np.float64) * trainer.met[:, None])
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            n, total = 0, np.zeros(1)
-            for batch in batches:
-                for m, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    n, total = n + m, total + np.frombuffer(w)
-            if n:
-                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["n", "w"])
+            sums = summed(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+            if sums[0]:
+                yield batch_of(*sums)
 
         chosen = windows.filter(F.pmod(F.xxhash64("window"), F.lit(ROUNDS)) == number).select("window").repartition(parts)
-        copies = chosen.mapInArrow(train, "n long, w binary").repartition(math.isqrt(parts) + 1).mapInArrow(add, "n long, w binary").collect()
+        meetings = min(MEETINGS, math.isqrt(parts) + 1)
+        copies = chosen.mapInArrow(train, kind).repartition(meetings).mapInArrow(add, kind).collect()
         if copies:
-            weights = shaped(sum(np.frombuffer(r["w"]) for r in copies) / sum(r["n"] for r in copies))
+            n, w, met, own = summed(copies)
+            kept = weights[OWN]
+            weights = shaped(w / n)
+            weights[OWN] = np.where(met[:, None] > 0, own / np.maximum(met, 1)[:, None], kept).astype(np.float32)
     return weights
 
 
+def by_id(weights: dict[str, np.ndarray], of: np.ndarray) -> dict[str, np.ndarray]:
+    """The weights with one row of ``e`` for each id, and one for none: its class's vector and its own together."""
+    return {**{n: a for n, a in weights.items() if n != OWN}, "e": weights["e"][np.r_[of, CLASSES]] + weights[OWN]}
+
+
 def _frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Hashes (sorted) and counts of the most frequent words: as many powers of two of counts as fit ``FREQUENT``."""
     bands = counts.groupBy(F.floor(F.log2("n")).alias("band")).agg(F.count(F.lit(1)).alias("words")).collect()
@@ -420,7 +473,7 @@ def score_documents(docs: DataFrame, vocabulary: str, id_column: str = "doc_id",
         id_counts[r["key"]] = r["n"]
     classes = Classes.fit(id_counts, own_pieces.begins_word)
     weights = _trained(gathered.filter(F.col("kind") == WINDOWS), classes)
-    shared = spark.sparkContext.broadcast((_frequent(words), flat(weights), classes))
+    shared = spark.sparkContext.broadcast((_frequent(words), by_id(weights, classes.of), classes))
     end_known = int(training_docs > 0)
     end_share = math.log10(training_docs + 1)
     each = math.log10(train_tokens + distinct + 1)
@@ -434,9 +487,8 @@ def score_documents(docs: DataFrame, vocabulary: str, id_column: str = "doc_id",
         from pyspark import TaskContext
 
         own = _pieces(vocabulary)
-        (frequent, n), values, cl = shared.value
+        (frequent, n), w, cl = shared.value
         gain = np.log10(n + 1.0)
-        w = shaped(values)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             parts = [_scored(part, own, frequent, gain, w, cl) for part in row_slices(batch.column(1))]
@@ -479,7 +531,7 @@ def _scored(
 
     ids, ends = own.split(words, distinct, first, inverse)
     target = classes.of[ids]
-    source = before(target, ends, CLASSES)
+    source = before(ids, ends, len(classes.of))
     at, _, fresh = places(ends)
     scores = classes.log_inside[ids]
     for a in range(0, len(at), 128):

@@ -136,3 +136,45 @@ def test_each_round_trains_on_its_share_of_all_windows(documents, monkeypatch):
     classes = lm.Classes.fit(np.ones(300), np.arange(300) % 2 == 0)
     weights = lm._trained(windows, classes)
     assert seen.value == len(packed) and all(np.isfinite(x).all() for x in weights.values())
+
+
+def test_training_tells_ids_of_one_class_apart(documents):
+    """Two ids of a shared class: one is always followed by id 1, the other by id 2."""
+    rng = np.random.default_rng(4)
+    classes = lm.Classes.fit(np.r_[np.full(lm.OWN_CLASS, 100.0), np.zeros(224)], np.arange(300) % 2 == 0)
+    one, two = (int(i) for i in np.flatnonzero(classes.of == classes.of[299])[:2])
+    follows = np.where(rng.random(60_000) < 0.5, one, two)
+    ids = np.c_[follows, np.where(follows == one, 1, 2)].ravel().astype(np.int32)
+    packed = lm.packed_windows(ids, np.arange(1, 2001) * 60, 300)
+    windows = documents([]).sparkSession.createDataFrame([(w,) for w in packed.to_pylist()], "window binary")
+    weights = lm._trained(windows, classes)
+    assert not np.array_equal(weights[lm.OWN][one], weights[lm.OWN][two]) and not weights[lm.OWN][250].any()
+    w = lm.by_id(weights, classes.of)
+    x = np.full((2, lm.WINDOW), 300)
+    x[:, 0] = one, two
+    y = np.full((2, lm.WINDOW), classes.of[1])
+    after_one, after_two = lm.class_scores(w, x, y, np.array([0, lm.WINDOW]))
+    assert after_one > after_two + 0.5
+
+
+def test_gradient_of_own_vectors_matches_differences():
+    rng = np.random.default_rng(5)
+    w = {k: v.astype(np.float64) for k, v in lm.start_weights().items()}
+    x, y = rng.integers(0, lm.CLASSES + 1, (2, lm.WINDOW)), rng.integers(-1, lm.CLASSES, (2, lm.WINDOW))
+    own = rng.normal(0, 0.1, (2, lm.WINDOW, lm.WIDTH))
+
+    def loss():
+        logits = lm.forward(w, x, own)["z"] @ w["o"] + w["b"]
+        logits = logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+        real = np.flatnonzero(y.ravel() >= 0)
+        return -logits[real, y.ravel()[real]].mean()
+
+    found = lm.gradients(w, x, y, own)[lm.OWN].reshape(own.shape)
+    for at in ((0, 3, 5), (1, 20, 0)):
+        kept, step = own[at], 1e-5
+        own[at] = kept + step
+        up = loss()
+        own[at] = kept - step
+        down = loss()
+        own[at] = kept
+        assert abs((up - down) / (2 * step) - found[at]) < 1e-6
