@@ -87,7 +87,7 @@ def _promising(lines: DataFrame, levels: list[DataFrame], min_words: int) -> Dat
 
 def later_copies(docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """(``d``, ``h``, ``runs``): per document the longest runs that begin at each line and occurred before."""
-    lines = _lines(docs, id_column, text)
+    lines = store(_lines(docs, id_column, text), "lines")  # read twice below: texts are split once
     # rows equal in id and text give equal places: they are one document
     again = lines.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name")
     first = store(lines.join(again, "name", "left_semi").groupBy(*PLACE).agg(F.any_value("name").alias("name"), F.any_value("w").alias("w")), "line_names")

@@ -9,11 +9,13 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from clientele.llm import line_dedup
 from clientele.llm.arrow import hash_words
 from clientele.llm.components import connected_components
 from clientele.llm.decontamination import AGREEMENT, Index, find_overlaps, keep_clean
 from clientele.llm.line_dedup import without_repeats
 from clientele.llm.ngram_join import COUNTERS, OTHER_ORDERS, may_link, one_of_each, required, signature, similar_documents
+from clientele.sources.storage import store
 
 
 def line_corpus():
@@ -79,6 +81,22 @@ def test_odd_rows_survive_line_dedup(documents, odd_rows):
     assert len(got) == len(odd_rows) and sum(r.text is None for r in got) == sum(t is None for _, t in odd_rows)
 
 
+def test_texts_are_split_into_lines_once(spark, documents, tmp_path, monkeypatch):
+    path = str(tmp_path / "documents.parquet")
+    run = " ".join(f"word{i}" for i in range(40))
+    documents([(i, f"own line {i}\n{run}\nsecond {run}") for i in range(6)] + [(7, None)]).write.parquet(path)
+    readers = []
+
+    def kept(df, name, *rest):
+        readers.append((name, any("documents.parquet" in f for f in df.inputFiles())))
+        return store(df, name, *rest)
+
+    monkeypatch.setattr(line_dedup, "store", kept)
+    copies = line_dedup.later_copies(spark.read.parquet(path))
+    assert [name for name, reads in readers if reads] == ["lines"]
+    assert {r["d"] for r in copies.collect()} == {1, 2, 3, 4, 5}
+
+
 def shingles(t):
     w = (t or "").encode().lower().split()
     return frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
