@@ -53,18 +53,23 @@ def with_forest(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _value(inputs: Sequence[Column], deepest: int) -> Column:
-    """Weighted sum over all trees of the value of the leaf that a row falls into, at most ``deepest`` splits down."""
+    """Weighted sum over all trees of the value of the leaf that a row falls into, at most ``deepest`` splits down.
+
+    The inputs are bound once a row and the node once a step: an expression named twice inside a lambda is computed twice.
+    """
     depth = F.sequence(F.lit(1), F.lit(deepest))
-    x = F.array(*inputs)
 
-    def leaf(tree: Column) -> Column:
-        def step(at: Column, _: Column) -> Column:
-            node = tree["nodes"][at]
-            return F.when(node["left"].isNull(), at).when(x[node["variable"]] <= node["threshold"], node["left"]).otherwise(node["right"])
+    def leaf(tree: Column, x: Column) -> Column:
+        def step(node: Column, _: Column) -> Column:
+            child = F.when(x[node["variable"]] <= node["threshold"], node["left"]).otherwise(node["right"])
+            return F.when(node["left"].isNull(), node).otherwise(tree["nodes"][child])
+
+        return F.aggregate(depth, tree["nodes"][0], step)["value"]
 
-        return tree["nodes"][F.aggregate(depth, F.lit(0), step)]["value"]
+    def total(x: Column) -> Column:
+        return F.aggregate("_forest", F.lit(0.0), lambda so_far, t: so_far + t["weight"] * leaf(t, x))
 
-    return F.aggregate(F.transform("_forest", lambda t: t["weight"] * leaf(t)), F.lit(0.0), lambda total, v: total + v)
+    return F.transform(F.array(F.array(*inputs)), total)[0]
 
 
 def forest_probability(inputs: Sequence[Column], deepest: int) -> Column:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clientele.operators import ml
+from clientele.operators.trees import forest_probability, with_forest
 
 
 @pytest.fixture(scope="module")
@@ -59,6 +60,22 @@ def test_exported_nodes_score_as_the_model(labelled, tmp_path, kind):
     assert {r.customer_id: r.score for r in nodes.collect()} == pytest.approx(own, abs=1e-12)
 
 
+def test_a_walk_binds_the_inputs_once_a_row_and_the_node_once_a_step(spark):
+    """Five splits in a chain on either side; inside the lambdas neither the inputs nor a node are computed again."""
+    chain = [(0, 1.0, i, i % 2, float(i), i + 1 if i < 5 else None, 6 if i < 5 else None, float(i) if i == 5 else None) for i in range(6)]
+    nodes = spark.createDataFrame(
+        [*chain, (0, 1.0, 6, None, None, None, None, -1.0)],
+        "tree int, weight double, node int, variable int, threshold double, left int, right int, value double",
+    )
+    rows = spark.createDataFrame([(0.0, 0.0), (0.0, 2.0), (9.0, 0.0)], "a double, b double")
+    walked = with_forest(rows, nodes).select("a", "b", forest_probability([F.col("a") * 1.0, F.col("b") * 1.0], 5).alias("p"))
+    assert [tuple(r) for r in walked.orderBy("a", "b").collect()] == [(0.0, 0.0, 5.0), (0.0, 2.0, -1.0), (9.0, 0.0, -1.0)]
+    walk = walked._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+    assert walk.count(".nodes[") == 2  # the root, and the child chosen
+    outside, _, inside = walk.partition("lambdafunction(")
+    assert " * 1.0)" in outside and " * 1.0)" not in inside
+
+
 def test_unknown_model_raises(labelled):
     with pytest.raises(ValueError):
         ml.train(labelled, "perceptron")
