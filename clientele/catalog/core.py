@@ -213,7 +213,7 @@ def _(w: Warehouse) -> DataFrame:
 @over("sem2_metrics_by_day")
 def _(w: Warehouse) -> DataFrame:
     """Day grain, with the reference date of the data standing in for the update time."""
-    stamped = w.customer_360.withColumn("updated_at", features.as_of(w.table("transactions")))
+    stamped = w.customer_360.withColumn("updated_at", features.as_of(w.activity))
     return semantic.metric(semantic.metric_cube(stamped), ALL_METRICS, ["segment"], grain="day")
 
 

@@ -42,14 +42,14 @@ over("rpt10_high_band_list_cut1")(lambda w: portfolio.high_band_list(w.customer_
 over("rpt11_engagement_kpis", 4)(lambda w: engagement.engagement_kpis(w.customer_360))
 over("rpt12_latest_month_txn")(lambda w: engagement.latest_month_txn(w.monthly_transactions, w.as_of()))
 over("rpt13_channel_rates")(
-    lambda w: engagement.channel_rates(w.customer_360, w.table("transactions"), w.table("channels"))
+    lambda w: engagement.channel_rates(w.customer_360, w.activity, w.table("channels"))
 )
 over("rpt13_channel_adoption")(
-    lambda w: engagement.channel_adoption(w.customer_360, w.table("transactions"), w.table("channels"))
+    lambda w: engagement.channel_adoption(w.customer_360, w.activity, w.table("channels"))
 )
 over("rpt13_weakest_channel")(
     lambda w: engagement.weakest_channel(
-        engagement.channel_adoption(w.customer_360, w.table("transactions"), w.table("channels"))
+        engagement.channel_adoption(w.customer_360, w.activity, w.table("channels"))
     )
 )
 over("rpt14_digital_by_segment")(lambda w: engagement.digital_by_segment(w.customer_360))

@@ -14,8 +14,8 @@ from clientele.functions.columns import MONEY_SUM, count_rows
 
 ID = "customer_id"
 
-#: The staged tables that ``customer_features`` reads.
-TABLES = ("customers", "accounts", "transactions", "loans", "cards", "channels", "complaints")
+#: The staged tables that ``customer_features`` reads, besides a few columns of the transactions.
+TABLES = ("customers", "accounts", "loans", "cards", "channels", "complaints")
 
 
 def as_of(txn: DataFrame) -> Column:

@@ -8,6 +8,8 @@
   one can no longer ship Spark ML models to its tasks);
 * every bronze table remembers the state of its source files: ``renew`` builds again what has changed, and what
   depends on it, and leaves the rest;
+* activity: the few columns of transactions that customer features need. Where the source is the star schema and no
+  query has asked for whole transactions, a narrow table is written for them in place of the table by month;
 * gold: written tables. Customer features are written before they are scored, because scoring reads them
   twice (bounds, rows).
 """
@@ -26,7 +28,7 @@ from clientele.operators import features, marts, semantic, staging
 from clientele.operators.reports import opportunities
 from clientele.operators.staging import tag_real
 from clientele.sources.storage import file_state, remove, store
-from clientele.sources.bank_tables import SOURCE_FILES, bank_table, transactions_by_month
+from clientele.sources.bank_tables import ACTIVITY, SOURCE_FILES, activity, bank_table, transactions_by_month
 from clientele.sources.concurrent import run_all
 from clientele.sources.schemas import COLUMNS, REFERENCE_TABLES, TABLES
 
@@ -36,24 +38,27 @@ TableSource = Callable[[str], DataFrame]
 Store = Callable[[DataFrame, str, tuple[str, ...]], DataFrame]
 FileState = Callable[[str], str]
 GOLD = ("customer_360", "customer_segments", "nba")
+ACTIVE = ("activity", "_last_active")
 BUILT = ("accounts", "silver", "customer_features", "customer_360", "customer_segments", "nba", "metric_cube", "offer_stats")
 
 
 class Warehouse:
     """``tables`` yields a source table, ``keep`` writes a named table and reads it back.
 
-    ``monthly`` yields the tagged transactions clustered by month, where the source has a cheaper way than moving whole rows.
+    ``monthly`` yields the tagged transactions clustered by month, where the source has a cheaper way than moving whole rows;
+    ``narrow`` their ``ACTIVITY`` columns from a narrow table that its argument keeps, where whole rows are not needed.
     """
 
     def __init__(
         self, tables: TableSource, rules: BusinessRules = RULES, keep: Store = store, state: FileState | None = None,
-        monthly: Callable[[], DataFrame] | None = None,
+        monthly: Callable[[], DataFrame] | None = None, narrow: Callable[[Callable[[DataFrame], DataFrame]], DataFrame] | None = None,
     ):
         self._source = tables
         self._rules = rules
         self._write = keep
         self._state = state
         self._monthly = monthly
+        self._narrow = narrow
         self._states: dict[str, str] = {}
         self._kept: list[DataFrame] = []
         self._bronze: dict[str, DataFrame] = {}
@@ -65,6 +70,7 @@ class Warehouse:
             lambda table: bank_table(spark, source_dir, table), rules,
             state=lambda table: file_state(spark, [f"{source_dir}/{name}.parquet" for name in SOURCE_FILES[table]]),
             monthly=lambda: transactions_by_month(spark, source_dir, MONTH),
+            narrow=lambda keep: activity(spark, source_dir, keep),
         )
 
     def _keep(self, df: DataFrame, name: str, partition_by: tuple[str, ...]) -> DataFrame:
@@ -81,10 +87,11 @@ class Warehouse:
             return []
         changed = [t for t, known in self._states.items() if self._state(t) != known]
         for table in changed:
-            del self._bronze[table], self._states[table]
+            del self._states[table]
+            self._bronze.pop(table, None)
             self._counted.pop(table, None)
         if changed:
-            for name in BUILT:
+            for name in (*BUILT, *(ACTIVE if "transactions" in changed else ())):
                 self.__dict__.pop(name, None)
         return changed
 
@@ -95,14 +102,18 @@ class Warehouse:
         self._kept.clear()
         for kept in (self._bronze, self._states, self._counted):
             kept.clear()
-        for name in BUILT:
+        for name in (*BUILT, *ACTIVE):
             self.__dict__.pop(name, None)
 
+    def _note_state(self, table: str) -> None:
+        """Called before the files are read, so one that comes later counts as a change; a state noted already stays."""
+        if self._state is not None and table not in self._states:
+            self._states[table] = self._state(table)
+
     # bronze -----------------------------------------------------------------------------------------
     def bronze(self, table: str) -> DataFrame:
         if table not in self._bronze:
-            if self._state is not None:
-                self._states[table] = self._state(table)  # before reading: a file that comes later counts as a change
+            self._note_state(table)
             name = f"bronze/{table}"
             if table == "transactions" and self._monthly is not None:
                 self._bronze[table] = self._keep(self._monthly(), name, ("is_synthetic", MONTH))
@@ -136,7 +147,7 @@ class Warehouse:
 
     def as_of(self) -> Column:
         """Reference date of the portfolio."""
-        last = self._count("transactions")["last"]
+        last = self._last_active if self._is_narrow() else self._count("transactions")["last"]
         return F.lit(None if last is None else str(last)).cast("timestamp_ntz")
 
     def twins(self, table: str) -> tuple[DataFrame, DataFrame | None]:
@@ -157,7 +168,8 @@ class Warehouse:
     @cached_property
     def accounts(self) -> DataFrame:
         """Corrected accounts, written: features, checks and reports share the scan for salary credits."""
-        corrected = staging.stg_accounts(*self.twins("accounts"), self.table("transactions"))
+        paid = self.activity if self._is_narrow() else self.table("transactions")
+        corrected = staging.stg_accounts(*self.twins("accounts"), paid)
         return self._keep(corrected, "silver/accounts", ())
 
     @cached_property
@@ -179,11 +191,30 @@ class Warehouse:
         """Staged transactions with their month, which prunes folders when filtered."""
         return self.bronze("transactions")
 
+    # activity ---------------------------------------------------------------------------------------
+    @cached_property
+    def activity(self) -> DataFrame:
+        """The ``ACTIVITY`` columns of the staged transactions: of the whole table where it stands or no narrow one can be had."""
+        if self._narrow is None or "transactions" in self._bronze:
+            return self.table("transactions").select(*ACTIVITY)
+        self._note_state("transactions")
+        rows = self._narrow(lambda df: self._keep(df, "silver/activity", ()))
+        return rows.select(*[F.col(c).cast(COLUMNS["transactions"][c]).alias(c) for c in ACTIVITY])
+
+    def _is_narrow(self) -> bool:
+        """Whether transactions have been read as activity only."""
+        return "activity" in self.__dict__ and "transactions" not in self._bronze
+
+    @cached_property
+    def _last_active(self) -> object:
+        return self.activity.agg(F.max("txn_datetime")).first()[0]
+
     # gold -------------------------------------------------------------------------------------------
     @cached_property
     def customer_features(self) -> DataFrame:
-        self.fill_bronze(features.TABLES)
-        silver = {t: self.table(t) for t in features.TABLES}
+        spark = self._source(features.TABLES[0]).sparkSession
+        run_all(spark, [lambda: self.activity, *[partial(self.bronze, t) for t in features.TABLES]])
+        silver = {t: self.table(t) for t in features.TABLES} | {"transactions": self.activity}
         return self._keep(features.customer_features(silver, self._rules, self.as_of()), "silver/customer_features", ())
 
     @cached_property
@@ -231,13 +262,13 @@ class Warehouse:
 
         The feature models are read from the written feature table, not computed again.
         """
-        made = self.customer_features
+        silver, made = self.silver, self.customer_features  # in this order: whole transactions are read anyway
 
         def part(*columns: str) -> DataFrame:
             return made.select("customer_id", *columns)
 
         return {
-            **{f"stg_{t}": df for t, df in self.silver.items()},
+            **{f"stg_{t}": df for t, df in silver.items()},
             "int_customer_recency": part("recency_jours"),
             "int_customer_transaction_trend": part("tendance_transactions", "nb_txn_30j", "nb_txn_90j", "tendance_3m"),
             "int_customer_complaints": part("nb_reclamations_total", "nb_reclamations_ouvertes", "nb_reclamations_severite_haute"),

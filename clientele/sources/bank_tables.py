@@ -291,6 +291,21 @@ def transactions_by_month(spark: SparkSession, source_dir: str, month: str) -> D
     return narrow.select(*[F.expr(rule).alias(name) for name, rule in rules.items() if name != "is_synthetic"], "is_synthetic", month)
 
 
+#: The columns of a transaction that customer features read; the first two are texts of the customer's number.
+ACTIVITY = ("account_id", "customer_id", "txn_datetime", "txn_type", "channel_id")
+
+
+def activity(spark: SparkSession, source_dir: str, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The ``ACTIVITY`` columns of all transactions from a narrow table that ``keep`` writes and reads back.
+
+    Only the given columns behind them meet the orders, nothing moves by month, and the number is what is written.
+    """
+    rules = COLUMN_RULES["transactions"]
+    plain = [F.expr(rules[name]).alias(name) for name in ACTIVITY[2:]]
+    kept = keep(ROW_SOURCES["transactions"](spark, source_dir).select("o_custkey", *plain))
+    return kept.select(*[F.expr(rules[name]).alias(name) for name in ACTIVITY[:2]], *ACTIVITY[2:])
+
+
 def bank_table(spark: SparkSession, source_dir: str, table: str) -> DataFrame:
     """One of the ten bank tables; all but the reference lists carry ``is_synthetic``."""
     rules = COLUMN_RULES[table]
