@@ -51,6 +51,29 @@ def test_tree_models_cross_validate(labelled, kind):
     assert all(0 <= row[c] <= 1 for c in ("auc", "recall", "precision", "f1"))
 
 
+def test_cached_node_ids_grow_the_same_forest(labelled, monkeypatch):
+    cached = ml.train(labelled, "random_forest", trees=5).stages[-1]
+    assert cached.getCacheNodeIds()
+    plain = ml._estimator("random_forest", ml.RULES.seed, 5, 0).setCacheNodeIds(False)
+    monkeypatch.setattr(ml, "_estimator", lambda *_: plain)
+    assert ml.train(labelled, "random_forest", trees=5).stages[-1].toDebugString.split("\n", 1)[1] == cached.toDebugString.split("\n", 1)[1]
+
+
+@pytest.mark.parametrize(("kind", "most", "at_once"), [("random_forest", 0, 1), ("random_forest", 1 << 40, 5), ("gbt", 0, 5)])
+def test_large_forests_follow_one_another(labelled, monkeypatch, kind, most, at_once):
+    seen = []
+    own = ml.run_all
+
+    def watched(spark, actions, limit):
+        seen.append(limit)
+        return own(spark, actions, limit)
+
+    monkeypatch.setattr(ml, "FOREST_ROWS", most)
+    monkeypatch.setattr(ml, "run_all", watched)
+    assert ml.cross_validate(labelled, kind, k=2, trees=2, rounds=1).count() == 1
+    assert seen == [at_once]
+
+
 @pytest.mark.parametrize("kind", ["random_forest", "gbt"])
 def test_exported_nodes_score_as_the_model(labelled, tmp_path, kind):
     model = ml.train(labelled, kind, trees=7, rounds=5)
