@@ -142,68 +142,111 @@ MASK = np.where(np.tril(np.ones((WINDOW, WINDOW), dtype=bool)), 0, -1e9).astype(
 SCALE = np.float32(1 / math.sqrt(WIDTH))
 
 
-def forward(w: dict[str, np.ndarray], x_class: np.ndarray, own: np.ndarray | None = None) -> dict[str, np.ndarray]:
+def attended(w: dict[str, np.ndarray], x_class: np.ndarray, own: np.ndarray | None = None) -> dict[str, np.ndarray]:
     """Attention over windows (``[windows, WINDOW]``) of rows of ``e`` and, with ``own``, each place's own vector."""
-    x = w["e"][x_class] + w["p"]
+    x = np.take(w["e"], x_class, axis=0)
+    x += w["p"]
     if own is not None:
         x += own
-    q, k, v = x @ w["q"], x @ w["k"], x @ w["v"]
-    a = np.matmul(q, k.transpose(0, 2, 1))
-    a *= SCALE
+    qkv = x @ projections(w)
+    q, k, v = (qkv[:, :, i : i + WIDTH] for i in range(0, 3 * WIDTH, WIDTH))
+    a = np.matmul(q, np.ascontiguousarray(k.transpose(0, 2, 1)))
     np.clip(a, -30, 30, out=a)
     a += MASK
     np.exp(a, out=a)
-    a /= a.sum(axis=2, keepdims=True)
-    h = x + np.matmul(a, v)
-    r = h.reshape(-1, WIDTH) @ w["m1"] + w["b1"]
+    a /= row_sums(a)[..., None]
+    added = np.matmul(a, v)
+    return {"x": x, "q": q, "k": k, "v": v, "a": a, "added": added, "h": x + added}
+
+
+def projections(w: dict[str, np.ndarray]) -> np.ndarray:
+    """Queries (scaled), keys and values in one matrix."""
+    return np.concatenate([w["q"] * SCALE, w["k"], w["v"]], axis=1)
+
+
+def row_sums(a: np.ndarray) -> np.ndarray:
+    """Sums over the last axis, as a product."""
+    return a @ np.ones(a.shape[-1], dtype=a.dtype)
+
+
+def hidden(w: dict[str, np.ndarray], h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hidden layer at some places and what comes out of it."""
+    r = h @ w["m1"]
+    r += w["b1"]
     np.maximum(r, 0, out=r)
-    z = h.reshape(-1, WIDTH) + r @ w["m2"]
-    return {"x": x, "q": q, "k": k, "v": v, "a": a, "h": h, "r": r, "z": z}
+    z = r @ w["m2"]
+    z += h
+    return r, z
+
+
+def forward(w: dict[str, np.ndarray], x_class: np.ndarray, own: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """The whole layer at all places."""
+    f = attended(w, x_class, own)
+    f["r"], f["z"] = hidden(w, f["h"].reshape(-1, WIDTH))
+    return f
 
 
 def class_scores(w: dict[str, np.ndarray], x_class: np.ndarray, y_class: np.ndarray, scored: np.ndarray) -> np.ndarray:
     """Natural log of P(class | before) at the scored places of some windows (``scored``: flat indexes); ``x_class``: rows of ``e``."""
-    z = forward(w, x_class)["z"][scored]
+    _, z = hidden(w, np.take(attended(w, x_class)["h"].reshape(-1, WIDTH), scored, axis=0))
     logits = z @ w["o"]
     logits += w["b"]
     np.clip(logits, -40, 40, out=logits)
     chosen = logits[np.arange(len(scored)), y_class.ravel()[scored]]
     np.exp(logits, out=logits)
-    return chosen - np.log(logits.sum(axis=1))
+    return chosen - np.log(row_sums(logits))
 
 
 def gradients(w: dict[str, np.ndarray], x_class: np.ndarray, y_class: np.ndarray, own: np.ndarray | None = None) -> dict[str, np.ndarray]:
     """Of the mean negative log-likelihood; places with class -1 are not scored. ``OWN``: of each place's own vector."""
+    g = place_gradients(w, x_class, y_class, own)
+    order = np.argsort(x_class.ravel(), kind="stable")
+    met, first = run_starts(x_class.ravel()[order])
+    g["e"] = np.zeros_like(w["e"])
+    g["e"][met] = np.add.reduceat(g[OWN][order], first, axis=0)
+    return g
+
+
+def run_starts(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of an ordered array and where each begins."""
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    return ordered[first], first
+
+
+def place_gradients(w: dict[str, np.ndarray], x_class: np.ndarray, y_class: np.ndarray, own: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """As ``gradients``, without ``e``, whose rows get the sums of ``OWN`` over their places."""
     f = forward(w, x_class, own)
     y = y_class.ravel()
     real = np.flatnonzero(y >= 0)
     d = f["z"] @ w["o"]
     d += w["b"]
-    d -= d.max(axis=1, keepdims=True)
+    if d.max() > 60 or d.min() < -60:
+        d -= d.max(axis=1, keepdims=True)
     np.exp(d, out=d)
-    d *= (y >= 0)[:, None] / (d.sum(axis=1, keepdims=True) * max(1, len(real))).astype(d.dtype)
-    d[real, y[real]] -= 1 / max(1, len(real))
-    g = {"o": f["z"].T @ d, "b": d.sum(axis=0)}
+    sums = row_sums(d)
+    d[real, y[real]] -= sums[real]
+    each = ((y >= 0) / (sums * max(1, len(real)))).astype(d.dtype)  # times a row of d: the gradient of its logits
+    by_window = np.matmul((f["z"] * each[:, None]).reshape(-1, WINDOW, WIDTH).transpose(0, 2, 1), d.reshape(-1, WINDOW, CLASSES))
+    g = {"o": by_window.sum(axis=0), "b": each @ d}
     dz = d @ w["o"].T
-    dr = (dz @ w["m2"].T) * (f["r"] > 0)
-    g["m2"], g["m1"], g["b1"] = f["r"].T @ dz, f["h"].reshape(-1, WIDTH).T @ dr, dr.sum(axis=0)
-    dh = (dz + dr @ w["m1"].T).reshape(f["h"].shape)
-    dv = np.matmul(f["a"].transpose(0, 2, 1), dh)
-    da = np.matmul(dh, f["v"].transpose(0, 2, 1))
-    ds = da - np.einsum("ijk,ijk->ij", da, f["a"])[:, :, None]
+    dz *= each[:, None]
+    dr = dz @ w["m2"].T
+    dr *= f["r"] > 0
+    g["m2"], g["m1"], g["b1"] = f["r"].T @ dz, f["h"].reshape(-1, WIDTH).T @ dr, row_sums(dr.T)
+    dz += dr @ w["m1"].T
+    dh = dz.reshape(f["h"].shape)
+    ds = np.matmul(dh, np.ascontiguousarray(f["v"].transpose(0, 2, 1)))
+    ds -= np.einsum("ijk,ijk->ij", dh, f["added"])[:, :, None]
     ds *= f["a"]
-    ds *= SCALE
-    dq, dk = np.matmul(ds, f["k"]), np.matmul(ds.transpose(0, 2, 1), f["q"])
-    x2 = f["x"].reshape(-1, WIDTH)
-    dx = dh.copy()
-    for name, part in (("q", dq), ("k", dk), ("v", dv)):
-        g[name] = x2.T @ part.reshape(-1, WIDTH)
-        dx += part @ w[name].T
-    g["p"] = dx.sum(axis=0)
-    one_hot = np.zeros((x_class.size, CLASSES + 1), dtype=w["e"].dtype)
-    one_hot[np.arange(x_class.size), x_class.ravel()] = 1
-    g[OWN] = dx.reshape(-1, WIDTH)
-    g["e"] = one_hot.T @ g[OWN]
+    parts = np.empty((*x_class.shape, 3 * WIDTH), dtype=dz.dtype)  # of queries, keys and values
+    np.matmul(ds, f["k"], out=parts[:, :, :WIDTH])
+    np.matmul(ds.transpose(0, 2, 1), f["q"], out=parts[:, :, WIDTH : 2 * WIDTH])
+    np.matmul(f["a"].transpose(0, 2, 1), dh, out=parts[:, :, 2 * WIDTH :])
+    parts = parts.reshape(-1, 3 * WIDTH)
+    projected = f["x"].reshape(-1, WIDTH).T @ parts
+    g["q"], g["k"], g["v"] = projected[:, :WIDTH] * SCALE, projected[:, WIDTH : 2 * WIDTH], projected[:, 2 * WIDTH :]
+    dz += parts @ projections(w).T
+    g["p"], g[OWN] = dh.sum(axis=0), dz
     return g
 
 
@@ -216,13 +259,17 @@ class Trainer:
     def __init__(self, w: dict[str, np.ndarray], own: np.ndarray | None = None, of: np.ndarray | None = None) -> None:
         self.own, self.of = own, of
         if own is not None:
-            self.own_mean, self.own_square = np.zeros_like(own), np.zeros_like(own)
+            self.moments = np.zeros((len(own), 2, WIDTH), dtype=own.dtype)  # mean and square of an id's gradients
             self.met = np.zeros(len(own), dtype=np.int64)
+            self.by_class = np.argsort(of, kind="stable")
+            self.rank = np.empty(len(of), dtype=id_type(len(of)))  # in the order by class
+            self.rank[self.by_class] = np.arange(len(of))
         self.all = flat(w)
         self.w, at = {}, 0  # views of all
         for n in sorted(w):
-            self.w[n] = self.all[at : at + w[n].size].reshape(w[n].shape)
-            at += w[n].size
+            if n != OWN:
+                self.w[n] = self.all[at : at + w[n].size].reshape(w[n].shape)
+                at += w[n].size
         self.mean, self.square = np.zeros_like(self.all), np.zeros_like(self.all)
         self.steps = 0
 
@@ -231,8 +278,8 @@ class Trainer:
         if self.own is None:
             found = gradients(self.w, x, y_class)
         else:
-            found = gradients(self.w, self.of[x], y_class, self.own[x])
-            self._move_own(x.ravel(), found[OWN])
+            found = place_gradients(self.w, np.take(self.of, x), y_class, np.take(self.own, x, axis=0))
+            found["e"] = self._move_own(x.ravel(), found[OWN])
         g = flat(found)
         self.mean += 0.1 * (g - self.mean)
         self.square += 0.01 * (g * g - self.square)
@@ -240,16 +287,28 @@ class Trainer:
         s = self.square / (1 - 0.99**self.steps)
         self.all -= RATE * m / (np.sqrt(s) + 1e-8)
 
-    def _move_own(self, ids: np.ndarray, each: np.ndarray) -> None:
-        order = np.argsort(ids, kind="stable")
-        met, first = np.unique(ids[order], return_index=True)
-        g = np.add.reduceat(each[order], first, axis=0)
-        mean = self.own_mean[met] * np.float32(0.9) + g * np.float32(0.1)
-        square = self.own_square[met] * np.float32(0.99) + g * g * np.float32(0.01)
-        self.own_mean[met], self.own_square[met] = mean, square
-        mean, square = mean / (1 - 0.9**self.steps), square / (1 - 0.99**self.steps)
-        self.own[met] -= RATE * mean / (np.sqrt(square) + 1e-8)
-        self.met[met] += np.diff(np.r_[first, len(ids)])
+    def _move_own(self, ids: np.ndarray, each: np.ndarray) -> np.ndarray:
+        """Move the ids' own vectors; the gradients' sums by class. Places are brought together by id, ids by class."""
+        ranks = np.take(self.rank, ids)
+        order = np.argsort(ranks, kind="stable")
+        met, first = run_starts(np.take(ranks, order))
+        met = np.take(self.by_class, met)
+        g = np.add.reduceat(np.take(each, order, axis=0), first, axis=0)
+        moments = np.take(self.moments, met, axis=0)
+        mean, square = moments[:, 0], moments[:, 1]
+        mean += np.float32(0.1) * (g - mean)
+        square += np.float32(0.01) * (g * g - square)
+        self.moments[met] = moments
+        move = np.sqrt(square / (1 - 0.99**self.steps))
+        move += 1e-8
+        np.divide(mean, move, out=move)
+        move *= RATE / (1 - 0.9**self.steps)
+        self.own[met] -= move
+        self.met += np.bincount(ids, minlength=len(self.met))
+        classes, start = run_starts(np.take(self.of, met))
+        sums = np.zeros_like(self.w["e"])
+        sums[classes] = np.add.reduceat(g, start, axis=0)
+        return sums
 
 
 # from documents to windows

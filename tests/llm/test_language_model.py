@@ -178,3 +178,35 @@ def test_gradient_of_own_vectors_matches_differences():
         down = loss()
         own[at] = kept
         assert abs((up - down) / (2 * step) - found[at]) < 1e-6
+
+
+def test_a_step_brings_places_together_by_id_and_ids_by_class():
+    """Sums by class of the ids' sums are the gradient of ``e``; own vectors move by Adam on their ids' sums alone."""
+    rng = np.random.default_rng(6)
+    of = np.r_[rng.integers(0, lm.CLASSES, 300), lm.CLASSES]
+    w = lm.start_weights()
+    own = rng.normal(0, 0.1, (301, lm.WIDTH)).astype(np.float32)
+    x, y = rng.integers(0, 301, (4, lm.WINDOW)), rng.integers(-1, lm.CLASSES, (4, lm.WINDOW))
+    x[0, :9] = 7
+    found = lm.gradients(w, of[x], y, own[x])
+    sums = np.zeros_like(own)
+    np.add.at(sums, x.ravel(), found[lm.OWN])
+    trainer = lm.Trainer(w, own.copy(), of)
+    trainer.steps = 1
+    assert np.allclose(trainer._move_own(x.ravel(), lm.place_gradients(w, of[x], y, own[x])[lm.OWN]), found["e"], atol=1e-6)
+    trainer = lm.Trainer(w, own.copy(), of)
+    trainer.step(x, y)
+    met = np.bincount(x.ravel(), minlength=301)
+    assert np.array_equal(trainer.met, met)
+    assert np.allclose(trainer.own, np.where(met[:, None] > 0, own - lm.RATE * sums / (np.abs(sums) + 1e-8), own), atol=1e-5)
+
+
+def test_gradients_of_extreme_logits_are_finite():
+    rng = np.random.default_rng(7)
+    w = lm.start_weights()
+    w["b"][3] = 500
+    x, y = rng.integers(0, lm.CLASSES, (2, lm.WINDOW)), np.full((2, lm.WINDOW), 3)
+    assert all(np.isfinite(a).all() for a in lm.gradients(w, x, y).values())
+    assert abs(lm.gradients(w, x, y)["b"]).max() < 1e-6
+    w["b"][3] = -500
+    assert abs(lm.gradients(w, x, y)["b"][3] + 1) < 1e-5
